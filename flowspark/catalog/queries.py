@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, wraps
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +37,7 @@ from flowspark.plans.detection import detect_with_model, model_scorer
 from flowspark.plans.training_set import training_set
 from flowspark.schema import FEATURES, LABEL, PREDICTED, flow_schema, string_schema
 from flowspark.scratch import new_folder
+from flowspark.session import tune
 from flowspark.sinks.messages import replay_messages, send
 from flowspark.sinks.training_set import write_training_set
 from flowspark.sources.flow_csv import (
@@ -58,8 +59,14 @@ STREAM_TIMEOUT = 24 * 3600
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    """Register a query under its function's name."""
+
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return function(tune(spark), sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def _mapped(spark, sf_dir) -> DataFrame:

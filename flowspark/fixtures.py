@@ -90,21 +90,16 @@ def spaced_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wide_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """flow_id, all 78 features as text and the raw label."""
-    n, k, user = F.col("event_id"), _port(), F.col("user_id")
-    special = {0: "Infinity", 1: "NaN", 2: "", 3: None, 4: "abc", 5: "-Infinity"}
     base = events(spark, sf_dir).select(
-        n.alias("flow_id"), k.alias("k"), user.alias("user"), _raw_label().alias(LABEL)
+        F.col("event_id").alias("flow_id"), _port().alias("k"), "user_id", _raw_label().alias(LABEL)
     )
-    columns = [
-        _by_remainder(
-            F.col("flow_id") + position,
-            97,
-            special,
-            ((F.col("k") * (position + 1) + F.col("user")) % 1000).cast("string"),
-        ).alias(name)
-        for position, name in enumerate(FEATURES)
+    special = "array('Infinity', 'NaN', '', NULL, 'abc', '-Infinity')"
+    features = [
+        f"IF((flow_id + {i}) % 97 < 6, get({special}, int((flow_id + {i}) % 97)), "
+        f"string((k * {i + 1} + user_id) % 1000)) AS {quoted(name)}"
+        for i, name in enumerate(FEATURES)
     ]
-    return base.select("flow_id", *columns, LABEL)
+    return base.selectExpr("flow_id", *features, LABEL)
 
 
 def with_rule_prediction(df: DataFrame, duration: str = "Flow Duration") -> DataFrame:

@@ -12,8 +12,8 @@ from flowspark.schema import quoted, string_schema
 
 def to_message(names: Iterable[str]) -> Column:
     """One JSON object per row; every value a string, absent values ``null``."""
-    fields = [F.col(quoted(n)).cast("string").alias(n.strip()) for n in names]
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    fields = ", ".join(f"CAST({quoted(n)} AS STRING) AS {quoted(n.strip())}" for n in names)
+    return F.to_json(F.expr(f"struct({fields})"), {"ignoreNullFields": "false"})
 
 
 def from_message(text: Column, names: Iterable[str]) -> Column:

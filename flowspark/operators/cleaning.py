@@ -17,10 +17,7 @@ def cast_features(
     df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:
     """Features as DOUBLE, NULL where the text is no number."""
-    return df.select(
-        *[F.col(quoted(c)) for c in keep],
-        *[to_double(F.col(quoted(c))).alias(c) for c in features],
-    )
+    return df.selectExpr(*map(quoted, keep), *map(to_double, features))
 
 
 def cast_and_clean(
@@ -40,10 +37,8 @@ def cast_and_clean(
     if features is None:
         features = feature_columns(df, exclude=(LABEL, *passthrough))
     tail = [LABEL] if keep_label and LABEL in df.columns else []
-    return cast_features(df, features, keep=[*passthrough, *tail]).select(
-        *[F.col(quoted(c)) for c in passthrough],
-        *[finite_or_zero(F.col(quoted(c))).alias(c) for c in features],
-        *[F.col(quoted(c)) for c in tail],
+    return cast_features(df, features, keep=[*passthrough, *tail]).selectExpr(
+        *map(quoted, passthrough), *map(finite_or_zero, features), *map(quoted, tail)
     )
 
 

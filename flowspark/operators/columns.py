@@ -6,7 +6,6 @@ import logging
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from flowspark.schema import DASHBOARD_FEATURES, LABEL, PREDICTED, quoted
 
@@ -27,7 +26,7 @@ def normalize_columns(df: DataFrame) -> DataFrame:
         else:
             first[clean] = position
     by_position = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
-    return by_position.select(*[F.col(f"_{i}").alias(clean) for clean, i in first.items()])
+    return by_position.selectExpr(*[f"_{i} AS {quoted(clean)}" for clean, i in first.items()])
 
 
 def rename_strip(df: DataFrame) -> DataFrame:
@@ -48,4 +47,5 @@ def dashboard_projection(
 ) -> DataFrame:
     """Predicted class and those of the dashboard's features the frame has."""
     wanted = [*passthrough, predicted, *features]
-    return df.select(*[F.col(quoted(c)) for c in wanted if c in df.columns])
+    present = set(df.columns)
+    return df.select(*[quoted(c) for c in wanted if c in present])

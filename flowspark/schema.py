@@ -137,8 +137,13 @@ def string_schema(names: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def flow_schema(features: Iterable[str] = FEATURES, label: str | None = LABEL) -> T.StructType:
-    return string_schema([*features, *([label] if label else [])])
+def flow_schema(
+    features: Iterable[str] = FEATURES, label: str | None = LABEL, numeric: bool = False
+) -> T.StructType:
+    """Fields of a flow file: text, or with ``numeric`` DOUBLE features."""
+    kind = T.DoubleType() if numeric else T.StringType()
+    fields = [T.StructField(n, kind, True) for n in features]
+    return T.StructType([*fields, *(string_schema([label]) if label else [])])
 
 
 def quoted(name: str) -> str:

@@ -15,7 +15,7 @@ from flowspark.schema import quoted
 def decode_messages(messages: DataFrame, passthrough: Sequence[str] = ()) -> DataFrame:
     """Binary value to text; the broker's time becomes ``kafka_timestamp``."""
     return messages.select(
-        *[F.col(quoted(c)) for c in passthrough],
+        *map(quoted, passthrough),
         F.col("value").cast("string").alias("json_string"),
         F.col("timestamp").alias("kafka_timestamp"),
     )
@@ -36,10 +36,10 @@ def parse_messages(
     if valid_only:
         text = text.filter(is_json_object(F.col("json_string")))
     return text.select(
-        *[F.col(quoted(c)) for c in passthrough],
+        *map(quoted, passthrough),
         "kafka_timestamp",
         from_message(F.col("json_string"), features).alias("data"),
-    ).select(*[F.col(quoted(c)) for c in passthrough], "kafka_timestamp", "data.*")
+    ).select(*map(quoted, passthrough), "kafka_timestamp", "data.*")
 
 
 def clean_flows(
