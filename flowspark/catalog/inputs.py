@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowspark.fixtures import FEEDS, FLOW_FEATURES, TEXT_COLUMNS, flows
+from flowspark.fixtures import FEEDS, FLOW_FEATURES, TEXT_COLUMNS, flows, wide_flows
 from flowspark.operators.classifier import fit_forest
 from flowspark.operators.sampling import hash_split
 from flowspark.plans.training_set import training_set
@@ -72,6 +72,17 @@ def feed_scan(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     )
 
 
+def wide_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 78 features as text, at rest."""
+
+    def make():
+        folder = new_folder(spark, "wide")
+        wide_flows(spark, sf_dir).write.mode("overwrite").parquet(folder)
+        return folder
+
+    return spark.read.parquet(shared(spark, sf_dir, "wide", make))
+
+
 def damaged_csv(spark: SparkSession, sf_dir: str) -> str:
     """The flows as CSV lines; some have lost fields and some have gained one."""
 

@@ -18,7 +18,6 @@ from flowspark.fixtures import (
     mixed_messages,
     rule_scorer,
     spaced_flows,
-    wide_flows,
     with_rule_prediction,
 )
 from flowspark.operators import (
@@ -167,7 +166,7 @@ def etl_clean(spark, sf_dir):
 @query
 def etl_clean_wide(spark, sf_dir):
     return cleaning.preprocess_for_training(
-        wide_flows(spark, sf_dir), FEATURES, passthrough=["flow_id"]
+        inputs.wide_parquet(spark, sf_dir), FEATURES, passthrough=["flow_id"]
     )
 
 
@@ -268,7 +267,7 @@ def distinct_per_column(spark, sf_dir):
 
 @query
 def invalid_value_profile(spark, sf_dir):
-    return profile.invalid_value_profile(wide_flows(spark, sf_dir), FEATURES)
+    return profile.invalid_value_profile(inputs.wide_parquet(spark, sf_dir), FEATURES)
 
 
 @query
