@@ -27,8 +27,7 @@ def main(argv: list[str] | None = None) -> None:
     schema = spark.read.parquet(args.detections).schema
     detections = spark.readStream.schema(schema).parquet(args.detections)
     counts = attacks_per_window_stream(detections, width=args.width, lateness=args.lateness)
-    write_parquet(counts, args.output, args.checkpoint, interval(args))
-    wait_for_any(spark)
+    wait_for_any([write_parquet(counts, args.output, args.checkpoint, interval(args))])
 
 
 if __name__ == "__main__":

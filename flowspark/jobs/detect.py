@@ -41,15 +41,15 @@ def main(argv: list[str] | None = None) -> None:
         valid_only=args.valid_only,
     )
     if args.output:
-        write_parquet(detections, args.output, args.checkpoint, interval(args))
+        query = write_parquet(detections, args.output, args.checkpoint, interval(args))
     else:
         writer = (
             detections.writeStream.foreachBatch(dashboard_writer(args.dashboard))
             .outputMode("append")
             .option("checkpointLocation", args.checkpoint)
         )
-        with_trigger(writer, interval(args)).start()
-    wait_for_any(spark)
+        query = with_trigger(writer, interval(args)).start()
+    wait_for_any([query])
 
 
 if __name__ == "__main__":

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -53,10 +55,18 @@ def finish(query: StreamingQuery, timeout: float | None = None) -> StreamingQuer
     return query
 
 
-def wait_for_any(spark: SparkSession) -> None:
-    """Wait until one query ends or fails, then stop the others."""
+def wait_for_any(queries: Sequence[StreamingQuery]) -> None:
+    """Wait until one query ends or fails, then stop the others; a failure is raised.
+
+    Asks the queries themselves: the session's own wait returns at once if any earlier
+    query of the session has ended.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            queries[0].awaitTermination(1)
+        for query in queries:
+            if not query.isActive:
+                query.awaitTermination()
     finally:
-        for query in spark.streams.active:
+        for query in queries:
             query.stop()

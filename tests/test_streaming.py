@@ -14,7 +14,7 @@ from flowspark.sources.messages import read_folder, stream_folder
 from flowspark.streaming import health
 from flowspark.streaming.detection import batch_summary, dashboard_writer, detect
 from flowspark.streaming.parsing import clean_flows, parse_messages
-from flowspark.streaming.running import finish, write_parquet, write_table
+from flowspark.streaming.running import finish, wait_for_any, write_parquet, write_table
 from flowspark.streaming.windows import attacks_per_window_stream
 
 START = datetime.datetime(2024, 1, 1)
@@ -90,6 +90,19 @@ def test_timeout_stops_the_query(spark, topic, tmp_path):
     assert not query.isActive
 
 
+def test_wait_for_any_stops_the_others(spark, topic, tmp_path):
+    def start(name, interval):
+        return write_parquet(
+            detections(stream_folder(spark, topic)), str(tmp_path / f"o{name}"),
+            str(tmp_path / f"c{name}"), interval,
+        )
+
+    endless, ending = start("a", "1 second"), start("b", None)
+    wait_for_any([endless, ending])
+    assert not endless.isActive and not ending.isActive
+    assert spark.read.parquet(str(tmp_path / "ob")).count() == N
+
+
 def test_damaged_messages(spark):
     texts = ['{"Destination Port":"80"}', "{bad", None, "[1]"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key int, value string")
@@ -147,8 +160,8 @@ def test_windows_equal_batch_once_closed(spark, tmp_path):
 
 def test_rows_behind_the_watermark_are_not_counted(spark, tmp_path):
     source, output, checkpoint = (str(tmp_path / d) for d in ("t", "o", "c"))
-    for low in (300, 0, 10**5):
-        send(messages(flows(spark, low, low + 100)), source)
+    for low, high in ((300, 400), (0, 100), (10**5, 10**5 + 1)):
+        send(messages(flows(spark, low, high)), source)
         written = run_windows(spark, source, output, checkpoint)
     # minutes 35 to 46 came first; of minutes 0 to 11 none is within ten minutes of them
     assert written.agg(F.sum("count")).first()[0] == 100
