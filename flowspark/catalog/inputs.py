@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowspark.fixtures import FEEDS, FLOW_FEATURES, TEXT_COLUMNS, flows, wide_flows
+from flowspark.fixtures import FEEDS, FLOW_FEATURES, TEXT_COLUMNS, events, flows, wide_flows
 from flowspark.operators.classifier import fit_forest
 from flowspark.operators.sampling import hash_split
 from flowspark.plans.training_set import training_set
@@ -36,13 +36,20 @@ def shared(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], Any])
     return _made[key]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that comes as one small file. Inputs of more
+    pieces than cores, as any large table has, are left where they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def feed_paths(spark: SparkSession, sf_dir: str) -> list[str]:
     """The flows as CSV, in one folder per feed."""
 
     def make():
         folder = new_folder(spark, "feeds")
         (
-            flows(spark, sf_dir)
+            spread(flows(spark, sf_dir))
             .withColumn("feed", F.col("flow_id") % FEEDS)
             .select("feed", *CSV_COLUMNS)
             .write.mode("overwrite")
@@ -77,7 +84,7 @@ def wide_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def make():
         folder = new_folder(spark, "wide")
-        wide_flows(spark, sf_dir).write.mode("overwrite").parquet(folder)
+        wide_flows(spread(events(spark, sf_dir))).write.mode("overwrite").parquet(folder)
         return folder
 
     return spark.read.parquet(shared(spark, sf_dir, "wide", make))
@@ -155,7 +162,7 @@ def topic(spark: SparkSession, sf_dir: str, slices: int = 3) -> str:
     def make():
         folder = new_folder(spark, "topic")
         for part in time_slices(messages(spark, sf_dir), "ts", slices):
-            send(part, folder)
+            send(spread(part), folder)
         return folder
 
     return shared(spark, sf_dir, "topic", make)

@@ -55,6 +55,8 @@ from flowspark.streaming.windows import attacks_per_window_stream
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 STREAM_TIMEOUT = 24 * 3600
+# Groups are classes, or classes and minutes, counted before the shuffle.
+STATE_PARTITIONS = 8
 
 
 def query(function: Query) -> Query:
@@ -532,7 +534,8 @@ def _run_to_parquet(spark, stream: DataFrame, name: str) -> DataFrame:
 def _run_to_table(spark, stream: DataFrame, name: str) -> DataFrame:
     checkpoint = new_folder(spark, f"{name}-checkpoint")
     table = checkpoint.rsplit("/", 1)[1].replace("-", "_")
-    finish(write_table(stream, table, checkpoint), STREAM_TIMEOUT)
+    started = write_table(stream, table, checkpoint, state_partitions=STATE_PARTITIONS)
+    finish(started, STREAM_TIMEOUT)
     return spark.table(table)
 
 
@@ -622,7 +625,10 @@ def stream_attacks_per_minute(spark, sf_dir):
         parsed = parsing.parse_messages(stream_folder(spark, source), [LABEL])
         mapped = cleaning.map_labels(parsed)
         stream = attacks_per_window_stream(mapped, label=LABEL)
-        finish(write_parquet(stream, output, checkpoint, interval=None), STREAM_TIMEOUT)
+        started = write_parquet(
+            stream, output, checkpoint, interval=None, state_partitions=STATE_PARTITIONS
+        )
+        finish(started, STREAM_TIMEOUT)
     written = spark.read.schema(stream.schema).parquet(output)
     return written.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 

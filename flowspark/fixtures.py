@@ -88,9 +88,9 @@ def spaced_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def wide_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide_flows(events: DataFrame) -> DataFrame:
     """flow_id, all 78 features as text and the raw label."""
-    base = events(spark, sf_dir).select(
+    base = events.select(
         F.col("event_id").alias("flow_id"), _port().alias("k"), "user_id", _raw_label().alias(LABEL)
     )
     special = "array('Infinity', 'NaN', '', NULL, 'abc', '-Infinity')"

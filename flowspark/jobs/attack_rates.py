@@ -22,12 +22,16 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--width", default="1 minute")
     parser.add_argument("--lateness", default="10 minutes")
+    parser.add_argument("--state-partitions", type=int, default=8)
     args = parser.parse_args(argv)
     spark = build_session("attack-rates")
     schema = spark.read.parquet(args.detections).schema
     detections = spark.readStream.schema(schema).parquet(args.detections)
     counts = attacks_per_window_stream(detections, width=args.width, lateness=args.lateness)
-    wait_for_any([write_parquet(counts, args.output, args.checkpoint, interval(args))])
+    query = write_parquet(
+        counts, args.output, args.checkpoint, interval(args), args.state_partitions
+    )
+    wait_for_any([query])
 
 
 if __name__ == "__main__":

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def with_trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
     """Micro-batches at ``interval``, or, without one, all present data and then the end."""
@@ -16,8 +19,28 @@ def with_trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWr
     return writer.trigger(processingTime=interval)
 
 
+@contextmanager
+def state_stores(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """Start queries with this many state stores. A query keeps the number it first
+    started with. Counts per class, or per class and minute, need few: each task sends
+    one partial count per group, so more stores only add overhead to every batch."""
+    if partitions is None:
+        yield
+        return
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    spark.conf.set(SHUFFLE_PARTITIONS, partitions)
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)
+
+
 def write_parquet(
-    stream: DataFrame, path: str, checkpoint: str, interval: str | None = "5 seconds"
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = "5 seconds",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append to a Parquet table. The sink's log makes a restarted query continue
     without repeating or losing rows."""
@@ -27,11 +50,16 @@ def write_parquet(
         .option("checkpointLocation", checkpoint)
         .option("path", path)
     )
-    return with_trigger(writer, interval).start()
+    with state_stores(stream.sparkSession, state_partitions):
+        return with_trigger(writer, interval).start()
 
 
 def write_table(
-    stream: DataFrame, name: str, checkpoint: str, interval: str | None = None
+    stream: DataFrame,
+    name: str,
+    checkpoint: str,
+    interval: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep the newest full result as an in-memory table of the driver. Only for
     aggregates whose number of rows is bounded, such as counts per class."""
@@ -41,7 +69,8 @@ def write_table(
         .outputMode("complete")
         .option("checkpointLocation", checkpoint)
     )
-    return with_trigger(writer, interval).start()
+    with state_stores(stream.sparkSession, state_partitions):
+        return with_trigger(writer, interval).start()
 
 
 def finish(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:

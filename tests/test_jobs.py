@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from flowspark.fixtures import wide_flows
+from flowspark.fixtures import events, wide_flows
 from flowspark.jobs import attack_rates, build_training_set, detect, probe, profile, replay, train
 from flowspark.schema import DASHBOARD_FEATURES, FEATURES, PREDICTED
 from flowspark.sinks.messages import send
@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def work(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("jobs")
-    flows = wide_flows(spark, SF).drop("flow_id")
+    flows = wide_flows(events(spark, SF)).drop("flow_id")
     flows.write.option("header", True).csv(str(folder / "csv"))
     return folder
 
