@@ -249,6 +249,7 @@ FROM flows GROUP BY 1, 2 WINDOW f AS (PARTITION BY flow_id % 8)""",
         "hash_sample": f"SELECT flow_id FROM flows WHERE {_below(0.1)}",
         "stratified_sample": 'SELECT flow_id, "Label" FROM sampled',
         "hash_split": f"SELECT flow_id, {_SPLIT} AS split FROM flows",
+        "random_split_cover": 'SELECT flow_id, CAST(1 AS BIGINT) AS "count" FROM flows',
         "union_strata": 'SELECT flow_id, "Label" FROM sampled',
         "union_files": _ETL_CLEAN,
         "etl_training_set": _TRAINING_SET,

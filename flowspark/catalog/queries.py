@@ -326,6 +326,13 @@ def random_split(spark, sf_dir):
     )
 
 
+@query
+def random_split_cover(spark, sf_dir):
+    """How often each row occurs in the parts of the random split."""
+    parts = sampling.random_split(flows(spark, sf_dir).select("flow_id"), [0.8, 0.2])
+    return profile.row_counts(sets.union_all(parts), ["flow_id"])
+
+
 @query
 def union_strata(spark, sf_dir):
     df = filters.exclude_class(_mapped(spark, sf_dir))

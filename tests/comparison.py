@@ -1,4 +1,4 @@
-"""Spark result against DuckDB result: same columns, same bag of rows."""
+"""Spark result against DuckDB result: same columns and types, same bag of rows."""
 
 import math
 from collections import Counter
@@ -20,6 +20,16 @@ def connect(sf_dir):
     return connection
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _plain(value):
     if isinstance(value, float):
         if math.isnan(value):
@@ -38,6 +48,10 @@ def difference(df, connection, sql):
     relation = connection.sql(sql)
     if sorted(df.columns) != sorted(relation.columns):
         return f"columns {sorted(df.columns)} != {sorted(relation.columns)}"
+    types = {name: TYPES.get(kind, kind) for name, kind in df.dtypes}
+    theirs = {name: str(kind) for name, kind in zip(relation.columns, relation.types)}
+    if types != theirs:
+        return f"types {set(types.items()) ^ set(theirs.items())}"
     ours = bag(df.columns, [tuple(r) for r in df.collect()])
     theirs = bag(relation.columns, relation.fetchall())
     if ours == theirs:
