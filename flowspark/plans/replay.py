@@ -29,7 +29,9 @@ def replay_csv(
     ``dense_keys`` they are 1, 2, 3, ..., for one more pass and a shuffle.
     """
     names = list(names or [*FEATURES, LABEL])
-    raw = read_flows(spark, paths, schema=flow_schema(names, label=None), strict=True)
+    raw = read_flows(
+        spark, paths, schema=flow_schema(names, label=None), strict=True, check_header=True
+    )
     too_long = field_count(F.col(CORRUPT)) > len(names)
     keyed = raw.withColumn("_key", F.monotonically_increasing_id() + 1)
     if dense_keys:

@@ -47,6 +47,6 @@ def build_training_set(
     **options,
 ) -> DataFrame:
     """CSV files to the Parquet set at ``output``; returns its rows per class."""
-    raw = read_flows(spark, paths)
+    raw = read_flows(spark, paths, check_header=True)
     write_training_set(training_set(raw, **options), output, by_label, rebalance)
     return written_counts(spark, output)

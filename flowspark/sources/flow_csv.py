@@ -21,6 +21,7 @@ def read_flows(
     strict: bool = False,
     file_column: str | None = None,
     header: bool = True,
+    check_header: bool = False,
 ) -> DataFrame:
     """One scan over all files.
 
@@ -35,7 +36,13 @@ def read_flows(
     lines of the wrong width into ``_corrupt_record``; otherwise the parser reads the
     asked-for columns only. Unreadable files fail the job in both cases.
     ``file_column`` adds the path each row came from.
+
+    ``check_header`` reads header lines along with the data, fails on a file whose
+    columns stand in another order and leaves the matching headers out. It needs the text
+    schema and every column, so it suits jobs that read whole rows.
     """
+    if check_header:
+        header = False
     reader = (
         spark.read.option("header", header)
         .option("ignoreCorruptFiles", False)
@@ -52,11 +59,34 @@ def read_flows(
             )
         reader = reader.schema(fields)
     df = reader.csv([paths] if isinstance(paths, str) else list(paths))
+    if check_header:
+        df = without_headers(df, [f.name for f in fields if f.name != CORRUPT])
     if file_column is None:
         return df
     return df.select("*", F.col("_metadata.file_path").alias(file_column))
 
 
+def without_headers(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Drop header lines; raise on one that does not list ``names`` in order.
+
+    A header line is told by its first field, which names a column; no flow starts with
+    one. Names may have spaces around them, and the position Spark appends to repeated
+    names may be missing.
+    """
+    plain = [name.removesuffix(str(i)) for i, name in enumerate(names)]
+    is_header = F.trim(F.col(quoted(names[0]))).isin(sorted({*names, *plain}))
+    line = F.concat_ws("\n", *[F.trim(F.col(quoted(n))) for n in names])
+    expected = line.isin("\n".join(names), "\n".join(plain))
+    failure = F.raise_error(
+        F.concat(F.lit("unexpected header in "), F.input_file_name())
+    )
+    return df.filter(
+        F.when(~F.coalesce(is_header, F.lit(False)), True)
+        .when(expected, False)
+        .otherwise(failure.cast("boolean"))
+    )
+
+
 def field_count(line: Column) -> Column:
     """Number of comma-separated fields of a CSV line, commas in quotes left out."""
     bare = F.regexp_replace(line, '"([^"]|"")*"', "")

@@ -49,6 +49,24 @@ def test_duplicate_headers_need_no_inference(spark, raw_files):
     assert counts == {"mon.csv": 200, "tue.csv": 3}
 
 
+def test_header_check(spark, raw_files, tmp_path):
+    df = read_flows(spark, raw_files, check_header=True, file_column="file")
+    assert df.count() == 203
+    assert df.filter(F.col(LABEL) == "Bot").count() == 1
+    clean = write(tmp_path / "clean.csv", ",".join([*FEATURES, LABEL]), flow_line(1, "Bot"))
+    bare = write(tmp_path / "bare.csv", flow_line(2, "Bot"))
+    assert read_flows(spark, [clean, bare], check_header=True).count() == 2
+
+    swapped = [*FEATURES, LABEL]
+    swapped[3], swapped[4] = swapped[4], swapped[3]
+    other = write(tmp_path / "other.csv", ",".join(swapped), flow_line(1, "Bot"))
+    with pytest.raises(Exception, match="unexpected header in .*other.csv"):
+        read_flows(spark, [*raw_files, other], check_header=True).collect()
+    first = write(tmp_path / "first.csv", ",".join([LABEL, *FEATURES]), "x," + "1," * 77 + "1")
+    with pytest.raises(Exception, match="unexpected header in .*first.csv"):
+        build_training_set(spark, [first], str(tmp_path / "bad"), features=FEATURES)
+
+
 def test_numeric_schema_cleans_to_the_same(spark, tmp_path):
     path = write(tmp_path / "n.csv", "a,b,Label", '1.5, 7 ,x', 'abc,NaN,x', ',Infinity,',
                  '"",-inf,x', "1e3,0x10,x", "+Inf,1d,x")
