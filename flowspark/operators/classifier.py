@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowspark.functions.labels import decode_prediction
-from flowspark.schema import LABEL, PREDICTED
+from flowspark.schema import LABEL, PREDICTED, quoted
 
 INDEXED = "label_indexed"
 VECTOR = "features"
@@ -68,7 +68,7 @@ def fit_forest(
 ) -> PipelineModel:
     """Fit the pipeline. The forest keeps its own binned copy of the rows, so an input
     read from Parquet gains little from ``storage``; a computed one does."""
-    df = df.select(*features, label)
+    df = df.select(*map(quoted, [*features, label]))
     if partitions:
         df = df.repartition(partitions)
     if storage is None:
@@ -91,8 +91,21 @@ def with_predicted_class(
     return df.withColumn(PREDICTED, decode_prediction(F.col(prediction), labels))
 
 
-def score(model: PipelineModel, df: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
-    """Score a batch or a stream and name the class. The label column may be missing."""
+def score(
+    model: PipelineModel,
+    df: DataFrame,
+    labels: Sequence[str] | None = None,
+    skip_invalid: bool = True,
+) -> DataFrame:
+    """Score a batch or a stream and name the class. The label column may be missing.
+
+    Rows with a NULL or NaN feature are skipped. The test for them computes every
+    feature a second time, below the projections that made them; cleaned rows need no
+    test, and with ``skip_invalid=False`` such a row is an error instead.
+    """
+    if not skip_invalid:
+        checked = model.stages[1].copy().setHandleInvalid("error")
+        model = PipelineModel([model.stages[0], checked, *model.stages[2:]])
     scored = model.transform(df)
     return with_predicted_class(scored, fitted_labels(model) if labels is None else labels)
 

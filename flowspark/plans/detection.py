@@ -14,7 +14,8 @@ from flowspark.streaming.detection import Scorer, detect
 
 
 def model_scorer(model: PipelineModel, labels: Sequence[str] | None = None) -> Scorer:
-    return partial(score, model, labels=labels)
+    """Scorer of cleaned flows."""
+    return partial(score, model, labels=labels, skip_invalid=False)
 
 
 def detect_with_model(

@@ -15,12 +15,12 @@ from flowspark.streaming.parsing import clean_flows, decode_messages
 def message_format(messages: DataFrame, passthrough: Sequence[str] = ()) -> DataFrame:
     """Per message: is it a JSON object, how many keys, which first, how it begins."""
     text = decode_messages(messages, passthrough)
-    keys = F.json_object_keys("json_string")
-    return text.select(
+    listed = text.withColumn("keys", F.json_object_keys("json_string"))
+    return listed.select(
         *passthrough,
-        is_json_object(F.col("json_string")).alias("is_valid"),
-        F.size(F.coalesce(keys, F.array().cast("array<string>"))).alias("n_fields"),
-        F.array_join(F.slice(keys, 1, 5), ",").alias("first_fields"),
+        F.col("keys").isNotNull().alias("is_valid"),
+        F.coalesce(F.size("keys"), F.lit(0)).alias("n_fields"),
+        F.array_join(F.slice("keys", 1, 5), ",").alias("first_fields"),
         F.substring("json_string", 1, 200).alias("beginning"),
     )
 
@@ -28,11 +28,10 @@ def message_format(messages: DataFrame, passthrough: Sequence[str] = ()) -> Data
 def message_health(messages: DataFrame) -> DataFrame:
     """Messages, valid and invalid ones, as one row; on a stream use complete mode."""
     valid = is_json_object(F.col("value").cast("string"))
-    return messages.agg(
-        F.count(F.lit(1)).alias("messages"),
-        F.count_if(valid).alias("valid"),
-        F.count_if(~valid).alias("invalid"),
+    counts = messages.agg(
+        F.count(F.lit(1)).alias("messages"), F.count_if(valid).alias("valid")
     )
+    return counts.withColumn("invalid", F.col("messages") - F.col("valid"))
 
 
 def observed(messages: DataFrame, name: str = "health") -> DataFrame:

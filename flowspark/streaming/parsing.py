@@ -31,6 +31,10 @@ def parse_messages(
 
     A message that is no JSON object yields NULL features, hence a flow of zeros after
     cleaning. ``valid_only`` leaves such messages out instead.
+
+    The fields are taken out by ``inline``, not ``data.*``. Catalyst moves a later filter
+    on the fields below a projection and would copy the JSON parser into it once per
+    field; it does not move one below a generator, so each message is parsed once.
     """
     text = decode_messages(messages, passthrough)
     if valid_only:
@@ -38,8 +42,8 @@ def parse_messages(
     return text.select(
         *map(quoted, passthrough),
         "kafka_timestamp",
-        from_message(F.col("json_string"), features).alias("data"),
-    ).select(*map(quoted, passthrough), "kafka_timestamp", "data.*")
+        F.inline(F.array(from_message(F.col("json_string"), features))),
+    )
 
 
 def clean_flows(

@@ -89,6 +89,14 @@ def test_scoring_needs_no_label(flows, model):
     assert scored.count() == flows.count()
 
 
+def test_invalid_rows_are_skipped_or_refused(spark, model):
+    schema = "flow_id int, x double, `y z/s` double"
+    df = spark.createDataFrame([(1, 1.0, 2.0), (2, None, 2.0)], schema)
+    assert score(model, df).count() == 1
+    with pytest.raises(Exception, match="(?i)null"):
+        score(model, df, skip_invalid=False).collect()
+
+
 def test_round_trip(flows, model, tmp_path):
     path = str(tmp_path / "model")
     for _ in range(2):

@@ -7,13 +7,17 @@ import pytest
 import __spark_entry__ as entry_points
 from flowspark.fixtures import FLOW_FEATURES, flows
 from flowspark.operators.cleaning import cast_and_clean, map_labels
+from flowspark.operators.classifier import fit_forest, score
 from flowspark.operators.filters import exclude_class
 from flowspark.operators.profile import attack_summary, attacks_per_window, preview
 from flowspark.operators.sampling import hash_sample, stratified_sample
+from flowspark.plans.detection import detect_with_model
 from flowspark.plans.training_set import training_set
 from flowspark.schema import FEATURES, LABEL, flow_schema
 from flowspark.session import HUGE_METHOD_LIMIT, JIT_LIMIT, tune
+from flowspark.sinks.messages import replay_messages
 from flowspark.sources.flow_csv import read_flows
+from flowspark.streaming.parsing import parse_messages
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,6 +76,23 @@ def test_preview_is_a_top_n(spark):
     assert "TakeOrderedAndProject" in plan(preview(flows(spark, SF), "flow_id", 5))
 
 
+def test_detection_parses_each_message_once(spark):
+    rows = flows(spark, SF)
+    clean = map_labels(cast_and_clean(rows, FLOW_FEATURES, keep_label=True))
+    model = fit_forest(clean, FLOW_FEATURES, num_trees=2)
+    messages = replay_messages(rows, "flow_id", FLOW_FEATURES)
+    text = plan(detect_with_model(messages, model, FLOW_FEATURES))
+    assert text.count("from_json") == 1 and "atleastnnonnulls" not in text
+    assert text.count("try_cast(") == len(FLOW_FEATURES) + 1  # and the prediction's index
+    assert "probability" not in text
+    assert model.stages[1].getHandleInvalid() == "skip"
+    skipping = plan(score(model, clean))
+    assert "atleastnnonnulls" in skipping
+    # a filter after parsing does not carry the parser along
+    filtered = parse_messages(messages, FLOW_FEATURES).filter("`Flow Duration` > '1'")
+    assert plan(filtered).count("from_json") == 1
+
+
 def test_no_python_in_any_plan(spark):
     for name, query in entry_points.queries().items():
         if name.startswith(("stream_", "train_", "model_", "score_")):
