@@ -17,7 +17,7 @@ from flowspark.fixtures import FEEDS, FLOW_FEATURES, TEXT_COLUMNS, events, flows
 from flowspark.operators.classifier import fit_forest
 from flowspark.operators.sampling import hash_split
 from flowspark.plans.training_set import training_set
-from flowspark.schema import LABEL, string_schema
+from flowspark.schema import FEATURES, LABEL, string_schema
 from flowspark.scratch import new_folder
 from flowspark.sinks.messages import replay_messages, send
 from flowspark.sinks.training_set import write_training_set
@@ -110,32 +110,49 @@ def damaged_csv(spark: SparkSession, sf_dir: str) -> str:
     return shared(spark, sf_dir, "damaged", make)
 
 
-def training_parquet(spark: SparkSession, sf_dir: str) -> str:
+def training_parquet(spark: SparkSession, sf_dir: str, wide: bool = False) -> str:
     """The sampled, cleaned flows, written as the training job writes them."""
 
     def make():
         folder = new_folder(spark, "training")
-        built = training_set(flows(spark, sf_dir), FLOW_FEATURES, key="flow_id")
+        if wide:
+            built = training_set(wide_parquet(spark, sf_dir), FEATURES, key="flow_id")
+        else:
+            built = training_set(flows(spark, sf_dir), FLOW_FEATURES, key="flow_id")
         write_training_set(built, folder)
         return folder
 
-    return shared(spark, sf_dir, "training", make)
+    return shared(spark, sf_dir, "training-wide" if wide else "training", make)
 
 
-def split_training_set(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    df = read_training_set(spark, training_parquet(spark, sf_dir))
+def split_training_set(
+    spark: SparkSession, sf_dir: str, wide: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    df = read_training_set(spark, training_parquet(spark, sf_dir, wide))
     train, test = hash_split(df, [0.8, 0.2], "flow_id")
     return train, test
 
 
-def forest(spark: SparkSession, sf_dir: str) -> PipelineModel:
+def forest(spark: SparkSession, sf_dir: str, wide: bool = False) -> PipelineModel:
     """The model, fitted on the training part."""
 
     def make():
-        train, _ = split_training_set(spark, sf_dir)
-        return fit_forest(train, FLOW_FEATURES, LABEL)
+        train, _ = split_training_set(spark, sf_dir, wide)
+        return fit_forest(train, FEATURES if wide else FLOW_FEATURES, LABEL)
 
-    return shared(spark, sf_dir, "forest", make)
+    return shared(spark, sf_dir, "forest-wide" if wide else "forest", make)
+
+
+def wide_topic(spark: SparkSession, sf_dir: str) -> str:
+    """Messages of all 78 features as files."""
+
+    def make():
+        folder = new_folder(spark, "topic-wide")
+        wide = wide_parquet(spark, sf_dir)
+        send(replay_messages(wide, "flow_id", [*FEATURES, LABEL]), folder)
+        return folder
+
+    return shared(spark, sf_dir, "topic-wide", make)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -311,6 +311,15 @@ WHERE {_SPLIT_NAMES['test']} AND {_below(0.3, 'test:42')} GROUP BY 1, 2""",
     result["etl_clean_wide"] = _sql(
         f'SELECT flow_id, {_cast(FEATURES, _clean)}, {CLASS} AS "Label" FROM wide', WIDE
     )
+    result["parse_messages_wide"] = _sql(
+        f"SELECT flow_id, {_cast(FEATURES, _clean)} FROM wide", WIDE
+    )
+    result["etl_training_set_wide"] = _sql(
+        f"SELECT * FROM (SELECT flow_id, {_cast(FEATURES, _clean)}, {CLASS} AS \"Label\" "
+        f'FROM wide) WHERE "Label" <> {_text(EXCLUDED_CLASS)} '
+        f'AND ("Label" IN ({_list(RARE_CLASSES)}) OR {_below(0.1)})',
+        WIDE,
+    )
     result["invalid_value_profile"] = _sql(
         f'SELECT "column", {_kind("value")} AS kind, count(*) AS "count" '
         f"FROM (SELECT {wide_columns} FROM wide) UNPIVOT INCLUDE NULLS "

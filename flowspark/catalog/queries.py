@@ -45,7 +45,7 @@ from flowspark.sources.flow_csv import (
     line_status_counts,
     read_flows,
 )
-from flowspark.sources.messages import stream_folder
+from flowspark.sources.messages import read_folder, stream_folder
 from flowspark.sources.training_set import read_training_set
 from flowspark.streaming import health, parsing
 from flowspark.streaming.detection import batch_summary, detect
@@ -363,6 +363,11 @@ def etl_training_set(spark, sf_dir):
     return training_set(flows(spark, sf_dir), FLOW_FEATURES, key="flow_id")
 
 
+@query
+def etl_training_set_wide(spark, sf_dir):
+    return training_set(inputs.wide_parquet(spark, sf_dir), FEATURES, key="flow_id")
+
+
 @query
 def etl_parquet_round_trip(spark, sf_dir):
     folder = new_folder(spark, "by-label")
@@ -430,6 +435,13 @@ def parse_valid_messages(spark, sf_dir):
     return cleaning.cast_and_clean(parsed, FLOW_FEATURES, passthrough=["flow_id"])
 
 
+@query
+def parse_messages_wide(spark, sf_dir):
+    messages = read_folder(spark, inputs.wide_topic(spark, sf_dir))
+    clean = parsing.clean_flows(messages, FEATURES, passthrough=["key"])
+    return _columns(_with_id(clean), "flow_id", *FEATURES)
+
+
 @query
 def json_validity(spark, sf_dir):
     return health.message_format(mixed_messages(flows(spark, sf_dir)), passthrough=["flow_id"])
@@ -461,6 +473,12 @@ def train_forest(spark, sf_dir):
     return classifier.feature_importances(spark, model, FLOW_FEATURES)
 
 
+@query
+def train_forest_wide(spark, sf_dir):
+    model = inputs.forest(spark, sf_dir, wide=True)
+    return classifier.feature_importances(spark, model, FEATURES)
+
+
 @query
 def score_batch(spark, sf_dir):
     _, test = inputs.split_training_set(spark, sf_dir)
@@ -673,3 +691,12 @@ def stream_detect(spark, sf_dir):
     )
     written = _with_id(_run_to_parquet(spark, stream, "detect"))
     return _columns(written, "flow_id", PREDICTED, *FLOW_FEATURES)
+
+
+@query
+def stream_detect_wide(spark, sf_dir):
+    model = inputs.forest(spark, sf_dir, wide=True)
+    folder = inputs.wide_topic(spark, sf_dir)
+    messages = stream_folder(spark, folder, inputs.files_per_trigger(spark, folder))
+    stream = detect_with_model(messages, model, passthrough=["key"])
+    return _with_id(_run_to_parquet(spark, stream, "detect-wide")).drop("key")

@@ -13,9 +13,11 @@ ROWS_ONLY = {
     "bernoulli_sample",
     "random_split",
     "train_forest",
+    "train_forest_wide",
     "score_batch",
     "train_and_evaluate",
     "stream_detect",
+    "stream_detect_wide",
 }
 
 
