@@ -26,6 +26,7 @@ def main(argv: list[str] | None = None) -> None:
         seed=args.seed,
         num_trees=args.trees,
         max_depth=args.depth,
+        from_files=True,
     )
     metric_rows(result.metrics).show(truncate=False)
     result.confusion.show(100, truncate=False)

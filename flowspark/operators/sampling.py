@@ -91,3 +91,22 @@ def hash_split(
 def random_split(df: DataFrame, weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
     """Spark's own split; it sorts every partition once per part to be repeatable."""
     return df.randomSplit(list(weights), seed=seed)
+
+
+def scan_split(df: DataFrame, weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
+    """Random split of rows read straight from files, without a key and without a sort.
+
+    ``rand`` follows the partition and the order of rows, both of which a file scan
+    repeats on every pass and retry. Not for frames that were shuffled: there
+    ``random_split`` pays for its sort.
+    """
+    drawn = df.withColumn("_draw", F.rand(seed))
+    total, low, parts = sum(weights), 0.0, []
+    for i, weight in enumerate(weights):
+        high = low + weight / total
+        inside = F.col("_draw") >= low
+        if i < len(weights) - 1:
+            inside = inside & (F.col("_draw") < high)
+        parts.append(drawn.filter(inside).drop("_draw"))
+        low = high
+    return parts

@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 from flowspark.operators.classifier import INDEXED, fit_forest, save_model, score
 from flowspark.operators.metrics import metrics_from_counts
 from flowspark.operators.profile import row_counts
-from flowspark.operators.sampling import bernoulli_sample, hash_sample, hash_split, random_split
+from flowspark.operators.sampling import (
+    bernoulli_sample,
+    hash_sample,
+    hash_split,
+    random_split,
+    scan_split,
+)
 from flowspark.schema import LABEL
 
 
@@ -33,14 +39,17 @@ def split_sets(
     train: float = 0.8,
     scored: float = 0.3,
     seed: int = 42,
+    from_files: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Training part, and the sample of the test part that is scored.
 
-    With a key both are decided by digest, each under its own purpose.
+    With a key both are decided by digest, each under its own purpose. Without one, rows
+    read straight ``from_files`` are drawn without the sort that others need.
     """
     weights = [train, 1.0 - train]
     if key is None:
-        train_df, test_df = random_split(df, weights, seed)
+        draw = scan_split if from_files else random_split
+        train_df, test_df = draw(df, weights, seed)
         return train_df, bernoulli_sample(test_df, scored, seed)
     train_df, test_df = hash_split(df, weights, key, seed)
     return train_df, hash_sample(test_df, scored, key, seed, purpose="test")
@@ -62,12 +71,13 @@ def train_and_evaluate(
     model_path: str | None = None,
     seed: int = 42,
     label: str = LABEL,
+    from_files: bool = False,
     **params,
 ) -> Evaluation:
     """Split, fit, evaluate on held-out rows and save the model if a path is given."""
     if features is None:
         features = [c for c in df.columns if c not in (label, key)]
-    train, test = split_sets(df, key, seed=seed)
+    train, test = split_sets(df, key, seed=seed, from_files=from_files)
     model = fit_forest(train, features, label, seed=seed, **params)
     result = evaluate(model, test, label)
     if model_path is not None:

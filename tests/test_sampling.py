@@ -8,6 +8,7 @@ from flowspark.operators.sampling import (
     hash_sample,
     hash_split,
     random_split,
+    scan_split,
     stratified_sample,
     with_split,
 )
@@ -51,6 +52,21 @@ def test_splits_are_disjoint_and_complete(rows):
         assert within(len(found[0]), N, 0.8)
 
 
+def test_scan_split(rows, tmp_path):
+    path = str(tmp_path / "rows")
+    rows.repartition(6).write.parquet(path)
+    table = rows.sparkSession.read.parquet(path)
+    parts = scan_split(table, [0.7, 0.2, 0.1])
+    found = [ids(p) for p in parts]
+    assert sum(map(len, found)) == N == len(set.union(*found))
+    assert all(within(len(f), N, w) for f, w in zip(found, [0.7, 0.2, 0.1]))
+    # another pass, over other columns, draws the same rows
+    again = parts[1].filter(F.col("Label") == "BotNet")
+    assert ids(again) == {i for i in found[1] if i % 10 == 0}
+    plan = parts[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
+
+
 def test_three_way_split(rows):
     counts = with_split(rows, {"a": 2, "b": 1, "c": 1}, "id").groupBy("split").count()
     sizes = {r.split: r["count"] for r in counts.collect()}
