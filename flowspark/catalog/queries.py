@@ -431,7 +431,9 @@ def parse_messages(spark, sf_dir):
 @query
 def parse_valid_messages(spark, sf_dir):
     messages = mixed_messages(flows(spark, sf_dir))
-    parsed = parsing.parse_messages(messages, FLOW_FEATURES, passthrough=["flow_id"], valid_only=True)
+    parsed = parsing.parse_messages(
+        messages, FLOW_FEATURES, passthrough=["flow_id"], valid_only=True
+    )
     return cleaning.cast_and_clean(parsed, FLOW_FEATURES, passthrough=["flow_id"])
 
 
@@ -509,7 +511,7 @@ def model_round_trip(spark, sf_dir):
     folder = new_folder(spark, "model")
     classifier.save_model(model, folder)
     _, test = inputs.split_training_set(spark, sf_dir)
-    outputs = [classifier.INDEXED, classifier.VECTOR, "rawPrediction", "probability", "prediction"]
+    outputs = [classifier.INDEXED, classifier.VECTOR, "rawPrediction", "probability"]
     first = classifier.score(model, test).withColumnRenamed("prediction", "first")
     again = classifier.score(classifier.load_model(folder), first.drop(*outputs, PREDICTED))
     return again.select("flow_id", (F.col("first") == F.col("prediction")).alias("same"))
@@ -554,7 +556,8 @@ def _topic_stream(spark, sf_dir) -> DataFrame:
 
 def _run_to_parquet(spark, stream: DataFrame, name: str) -> DataFrame:
     output = new_folder(spark, f"{name}-out")
-    started = write_parquet(stream, output, new_folder(spark, f"{name}-checkpoint"), interval=None)
+    checkpoint = new_folder(spark, f"{name}-checkpoint")
+    started = write_parquet(stream, output, checkpoint, interval=None)
     finish(started, STREAM_TIMEOUT)
     return spark.read.schema(stream.schema).parquet(output)
 
