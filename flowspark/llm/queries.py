@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowspark.llm import line_dedup, packing, quality_rules, simhash, token_counts
+from flowspark.llm import (
+    line_dedup,
+    packing,
+    quality_rules,
+    simhash,
+    substring_dedup,
+    token_counts,
+)
 from flowspark.llm.common import table
 
 
@@ -18,6 +25,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
@@ -33,6 +44,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
+    "op4_substring_dedup": op4_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
