@@ -6,30 +6,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowspark.schema import quoted
+from flowspark.scratch import saved
 
 
-def number_rows(
-    df: DataFrame, key: str, column: str = "row_number", block: int = 1_000_000
-) -> DataFrame:
-    """Position of each row in the order of a unique integer key.
+def number_rows(df: DataFrame, key: str, column: str = "row_number") -> DataFrame:
+    """Position of each row in the order of ``key``; rows without a key come last.
 
-    Keys are cut into blocks of consecutive values. A first pass over the key column
-    counts rows per block and sums the counts up; a second numbers the rows inside
-    each block. Uniqueness bounds a block to ``block`` rows, and the running sum sees
-    one row per block.
+    Rows are range-partitioned by key and written with the number of their range, as Spark
+    may draw other ranges when it computes them again. The rows of each range are counted
+    and the counts added up; a second pass numbers the rows inside each range. One task
+    sees one row per range, whatever the keys are. Equal keys are numbered in any order.
     """
-    block_of = F.col(quoted(key)) - F.pmod(F.col(quoted(key)), F.lit(block))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    order = F.col(quoted(key)).asc_nulls_last()
+    ranged = saved(
+        df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "ranges"
+    )
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.groupBy(block_of.alias("_block"))
+        ranged.groupBy("_range")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    inside = Window.partitionBy("_block").orderBy(F.col(quoted(key)))
+    inside = Window.partitionBy("_range").orderBy(order)
     return (
-        df.withColumn("_block", block_of)
-        .withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, "_block")
+        ranged.withColumn("_inside", F.row_number().over(inside))
+        .join(offsets, "_range")
         .withColumn(column, F.col("_offset") + F.col("_inside"))
-        .drop("_block", "_inside", "_offset")
+        .drop("_range", "_inside", "_offset")
     )

@@ -70,11 +70,11 @@ def test_metrics_equal_mllib(spark):
 def test_row_numbers(spark):
     keys = [7, 3, 1_000_003, 12, -5, 999, 1000, 2**60 + 1, 2**60]
     df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(4)
-    got = {r.k: r.row_number for r in number_rows(df, "k", block=10).collect()}
+    got = {r.k: r.row_number for r in number_rows(df, "k").collect()}
     assert got == {k: i for i, k in enumerate(sorted(keys), 1)}
 
 
 def test_row_numbers_of_many(spark):
     df = spark.range(0, 30_000, 3).repartition(8)
-    wrong = number_rows(df, "id", block=1000).filter(F.col("row_number") != F.col("id") / 3 + 1)
+    wrong = number_rows(df, "id").filter(F.col("row_number") != F.col("id") / 3 + 1)
     assert wrong.count() == 0
