@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import flowspark
-from flowspark.scratch import new_folder
+from flowspark.scratch import saved
+
+__all__ = ["SPACES", "WORD_GAP", "let", "lower_ascii", "saved", "ship", "table", "words_of"]
 
 SPACES = " \t\n\x0b\x0c\r"
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -36,18 +38,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def saved(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows written below the shared folder and read again.
-
-    Cuts lineage and survives the loss of executors, and everything that is derived from
-    the result sees the same rows, also where computing them again could differ.
-    """
-    spark = df.sparkSession
-    path = f"{new_folder(spark, purpose)}/rows"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ship(spark: SparkSession) -> None:
     """Makes this package importable in the Python workers, once for each application."""
     context = spark.sparkContext

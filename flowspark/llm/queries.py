@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowspark.llm import (
     line_dedup,
+    mixing,
     packing,
     quality_rules,
     simhash,
@@ -25,6 +26,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
+    "op3_mixing": op3_mixing,
     "op4_substring_dedup": op4_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op9_packing": op9_packing,
@@ -52,5 +58,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE_SQL,
+    "op3_mixing": mixing.ORACLE_SQL,
     "op7_line_dedup": line_dedup.ORACLE_SQL,
 }
