@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flowspark.llm import (
+    chat_format,
+    fingerprints,
     line_dedup,
     mixing,
     packing,
@@ -34,10 +36,23 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame(
+        [(-7, 0, "user", control), (-7, 1, "assistant", control)], rows.schema
+    )
+    return chat_format.digests(chat_format.format_conversations(rows.unionByName(added)))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing(table(spark, sf_dir, "documents"))
 
@@ -51,7 +66,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_mixing": op3_mixing,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_fingerprints": op5_fingerprints,
     "op7_line_dedup": op7_line_dedup,
+    "op8_chat_format": op8_chat_format,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
 }
