@@ -12,6 +12,7 @@ from flowspark.llm import (
     line_dedup,
     mixing,
     packing,
+    quality_classifier,
     quality_rules,
     simhash,
     substring_dedup,
@@ -40,6 +41,12 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_classifier(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
@@ -67,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_fingerprints": op5_fingerprints,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_line_dedup": op7_line_dedup,
     "op8_chat_format": op8_chat_format,
     "op9_packing": op9_packing,
