@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowspark.llm.common import saved, ship
@@ -285,13 +285,25 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+NO_ID = (1 << 63) - 1
+
+
 def with_components(
     docs: DataFrame, width: int = 3, radius: int = 3, blocks: int = 5
 ) -> DataFrame:
-    """doc_id, fp and component_id per row of ``docs``."""
+    """doc_id, text_hash, fp, root and component_id per row of ``docs``.
+
+    ``root`` is the smallest fingerprint of the component and names it uniquely.
+    """
     ship(docs.sparkSession)
+    text = F.coalesce(docs["text"], F.lit(""))
     rows = saved(
-        docs.select("doc_id", fingerprint(docs["text"], width).alias("fp")), "fingerprints"
+        docs.select(
+            docs["doc_id"].cast("long").alias("doc_id"),
+            F.xxhash64(text).alias("text_hash"),
+            fingerprint(text, width).alias("fp"),
+        ),
+        "fingerprints",
     )
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(nodes.select("fp"), radius, blocks))
@@ -302,8 +314,34 @@ def with_components(
         "components",
     )
     ids = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(ids, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = placed.join(ids, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
+    """The row of the smallest doc_id of each component, the columns of ``docs``."""
+
+    def key(doc: Column, text_hash: Column) -> list[Column]:
+        return [F.coalesce(doc, F.lit(NO_ID)).alias("_doc"), text_hash.alias("_text")]
+
+    kept = (
+        with_components(docs, width, radius)
+        .groupBy("root")
+        .agg(F.min(F.struct(*key(F.col("doc_id"), F.col("text_hash")))).alias("kept"))
+        .select("kept.*")
+    )
+    text_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    rows = docs.select(
+        *key(docs["doc_id"].cast("long"), text_hash),
+        F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+    ).join(kept, ["_doc", "_text"], "left_semi")
+    # Rows that are equal in id and text both match; one of them stays.
+    first = Window.partitionBy("_doc", "_text").orderBy(F.lit(1))
+    return (
+        rows.withColumn("_n", F.row_number().over(first))
+        .where("_n = 1")
+        .select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+    )
 
 
 def simhash_near_dedup(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
