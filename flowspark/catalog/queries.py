@@ -94,7 +94,7 @@ def _columns(df: DataFrame, *names: str) -> DataFrame:
 @query
 def scan_csv(spark, sf_dir):
     return cleaning.cast_and_clean(
-        inputs.feed_scan(spark, sf_dir, check_header=True),
+        inputs.feed_scan(spark, sf_dir),
         FLOW_FEATURES,
         keep_label=True,
         passthrough=["flow_id"],

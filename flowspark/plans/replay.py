@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowspark.operators.numbering import number_rows
 from flowspark.schema import FEATURES, LABEL, flow_schema
 from flowspark.sinks.messages import ReplayTotals, replay_messages, send
-from flowspark.sources.flow_csv import CORRUPT, field_count, read_flows
+from flowspark.sources.flow_csv import CORRUPT, WIDTH, field_count, read_flows
 
 
 def replay_csv(
@@ -29,12 +29,10 @@ def replay_csv(
     ``dense_keys`` they are 1, 2, 3, ..., for one more pass and a shuffle.
     """
     names = list(names or [*FEATURES, LABEL])
-    raw = read_flows(
-        spark, paths, schema=flow_schema(names, label=None), strict=True, check_header=True
-    )
-    too_long = field_count(F.col(CORRUPT)) > len(names)
+    raw = read_flows(spark, paths, schema=flow_schema(names, label=None), strict=True)
+    too_long = field_count(F.col(CORRUPT)) > F.col(WIDTH)
     keyed = raw.withColumn("_key", F.monotonically_increasing_id() + 1)
     if dense_keys:
         keyed = number_rows(keyed.withColumnRenamed("_key", "_position"), "_position", "_key")
-    messages = replay_messages(keyed, "_key", names, passthrough=[CORRUPT])
+    messages = replay_messages(keyed, "_key", names, passthrough=[CORRUPT, WIDTH])
     return send(messages, path=path, dropped=too_long, kafka=kafka)

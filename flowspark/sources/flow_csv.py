@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +16,12 @@ from flowspark.schema import flow_schema, quoted
 CORRUPT = "_corrupt_record"
 
 
+#: Strict scans by name: the number of columns in the header of the row's file.
+WIDTH = "_header_width"
+#: Files whose headers are read at the same time.
+HEADER_THREADS = 16
+
+
 def read_flows(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -21,70 +30,116 @@ def read_flows(
     strict: bool = False,
     file_column: str | None = None,
     header: bool = True,
-    check_header: bool = False,
 ) -> DataFrame:
-    """One scan over all files.
+    """One scan over all files of one layout.
+
+    Columns are found by name: the first line of each file is read beforehand, files with
+    equal headers are scanned together, and each layout's columns are brought into the
+    order of the schema. Further columns are left out; a missing one fails with the file's
+    name. ``header=False`` takes columns by position instead, for files without a header.
 
-    Columns are taken by position under an explicit schema, so no pass is spent on
-    inference and duplicate headers do no harm. The default reads text: where most rows
-    are sampled away, casting the rest later is cheapest. To clean every row give
+    Types are never inferred on the way. The default reads text: where most rows are
+    sampled away, casting the rest later is cheapest. To clean every row give
     ``flow_schema(numeric=True)``: the parser then makes the numbers itself, text that is
     none becomes NULL, and cleaning yields the same values at about half the cost.
     ``infer=True`` takes names and types from the files, for profiling.
 
-    ``strict`` parses every field of every line even if few are asked for and puts
-    lines of the wrong width into ``_corrupt_record``; otherwise the parser reads the
-    asked-for columns only. Unreadable files fail the job in both cases.
-    ``file_column`` adds the path each row came from.
-
-    ``check_header`` reads header lines along with the data, fails on a file whose
-    columns stand in another order and leaves the matching headers out. It needs the text
-    schema and every column, so it suits jobs that read whole rows.
+    ``strict`` parses every field of every line even if few are asked for, puts lines of
+    the wrong width into ``_corrupt_record`` and, by name, adds ``_header_width``;
+    otherwise the parser reads the asked-for columns only. Unreadable files fail the job in
+    both cases. ``file_column`` adds the path each row came from.
     """
-    if check_header:
-        header = False
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    wanted = schema or flow_schema()
     reader = (
         spark.read.option("header", header)
         .option("ignoreCorruptFiles", False)
         .option("columnPruning", not strict)
     )
+    if strict and not infer:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+
+    def scan(files: Sequence[str], fields: Sequence[T.StructField]) -> DataFrame:
+        corrupt = [T.StructField(CORRUPT, T.StringType(), True)] if strict else []
+        return reader.schema(T.StructType([*fields, *corrupt])).csv(list(files))
+
+    file = [] if file_column is None else [F.col("_metadata.file_path").alias(file_column)]
     if infer:
-        reader = reader.option("inferSchema", True)
-    else:
-        fields = schema or flow_schema()
-        if strict:
-            fields = T.StructType([*fields, T.StructField(CORRUPT, T.StringType(), True)])
-            reader = reader.option("mode", "PERMISSIVE").option(
-                "columnNameOfCorruptRecord", CORRUPT
-            )
-        reader = reader.schema(fields)
-    df = reader.csv([paths] if isinstance(paths, str) else list(paths))
-    if check_header:
-        df = without_headers(df, [f.name for f in fields if f.name != CORRUPT])
-    if file_column is None:
-        return df
-    return df.select("*", F.col("_metadata.file_path").alias(file_column))
-
-
-def without_headers(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Drop header lines; raise on one that does not list ``names`` in order.
-
-    A header line is told by its first field, which names a column; no flow starts with
-    one. Names may have spaces around them, and the position Spark appends to repeated
-    names may be missing.
+        return reader.option("inferSchema", True).csv(paths).select("*", *file)
+    if not header:
+        return scan(paths, wanted).select("*", *file)
+    layouts = header_layouts(spark, paths)
+    scans = []
+    for names, files in layouts.items():
+        places = places_of([f.name for f in wanted], names, files[0])
+        fields = [T.StructField(f"_column{i}", T.StringType(), True) for i in range(len(names))]
+        for place, field in zip(places, wanted):
+            fields[place] = T.StructField(field.name, field.dataType, True)
+        df = scan(paths if len(layouts) == 1 else files, fields)
+        columns = [F.col(quoted(field.name)) for field in wanted]
+        extra = [F.col(CORRUPT), F.lit(len(names)).alias(WIDTH)] if strict else []
+        scans.append(df.select(*columns, *extra, *file))
+    return reduce(DataFrame.unionByName, scans)
+
+
+def header_layouts(
+    spark: SparkSession, paths: Sequence[str]
+) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``paths`` by the names in their first lines.
+
+    Spark lists the files on the driver as for any scan; here the driver also opens each
+    for its first line, several at once.
     """
-    plain = [name.removesuffix(str(i)) for i, name in enumerate(names)]
-    is_header = F.trim(F.col(quoted(names[0]))).isin(sorted({*names, *plain}))
-    line = F.concat_ws("\n", *[F.trim(F.col(quoted(n))) for n in names])
-    expected = line.isin("\n".join(names), "\n".join(plain))
-    failure = F.raise_error(
-        F.concat(F.lit("unexpected header in "), F.input_file_name())
-    )
-    return df.filter(
-        F.when(~F.coalesce(is_header, F.lit(False)), True)
-        .when(expected, False)
-        .otherwise(failure.cast("boolean"))
-    )
+    files = spark.read.text(list(paths)).inputFiles()
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        lines = list(pool.map(lambda file: _first_line(spark, file), files))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines):
+        if line is None:  # an empty file has no rows in any layout
+            continue
+        names = tuple(name.strip() for name in next(csv.reader([line.removeprefix("\ufeff")]), []))
+        layouts.setdefault(names, []).append(file)
+    if not layouts:
+        raise ValueError(f"no header in {', '.join(paths)}")
+    return layouts
+
+
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file, compressed or not, through Spark's file systems."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        plain = stream if codec is None else codec.createInputStream(stream)
+        return jvm.java.io.BufferedReader(
+            jvm.java.io.InputStreamReader(plain, "UTF-8")
+        ).readLine()
+    finally:
+        stream.close()
+
+
+def places_of(wanted: Sequence[str], names: Sequence[str], file: str) -> list[int]:
+    """Where each wanted column stands among a file's names.
+
+    A wanted name that ends in its own place, as Spark names repeated headers, is also met
+    by the repeats of the bare name, in order.
+    """
+    bare = [name.strip().removesuffix(str(i)) for i, name in enumerate(wanted)]
+    repeated = {name for name in bare if bare.count(name) > 1}
+    free: dict[str, list[int]] = {}
+    for place, name in enumerate(names):
+        free.setdefault(name, []).append(place)
+    places, missing = [], []
+    for name, plain in zip(wanted, bare):
+        own = free.get(name.strip()) or (free.get(plain) if plain in repeated else None)
+        if own:
+            places.append(own.pop(0) if plain in repeated else own[0])
+        else:
+            missing.append(name.strip())
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {file}")
+    return places
 
 
 def field_count(line: Column) -> Column:

@@ -4,10 +4,11 @@ import pytest
 from comparison import connect, difference
 
 import __spark_entry__ as entry_points
+from flowspark.catalog.oracle import oracle_sql
+from flowspark.catalog.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+ORACLE = oracle_sql()
 # Results that SQL cannot repeat: MLlib's fits and Spark's own random draws.
 ROWS_ONLY = {
     "bernoulli_sample",
@@ -39,5 +40,10 @@ def test_query(spark, duck, name):
         assert df.count() > 0
 
 
+def test_catalog_is_registered():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0

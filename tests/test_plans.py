@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
+from flowspark.catalog.queries import QUERIES
 from flowspark.fixtures import FLOW_FEATURES, flows
 from flowspark.operators.cleaning import cast_and_clean, map_labels
 from flowspark.operators.classifier import fit_forest, score
@@ -94,7 +94,7 @@ def test_detection_parses_each_message_once(spark):
 
 
 def test_no_python_in_any_plan(spark):
-    for name, query in entry_points.queries().items():
+    for name, query in QUERIES.items():
         if name.startswith(("stream_", "train_", "model_", "score_")):
             continue
         text = plan(query(spark, SF))

@@ -49,22 +49,36 @@ def test_duplicate_headers_need_no_inference(spark, raw_files):
     assert counts == {"mon.csv": 200, "tue.csv": 3}
 
 
-def test_header_check(spark, raw_files, tmp_path):
-    df = read_flows(spark, raw_files, check_header=True, file_column="file")
-    assert df.count() == 203
-    assert df.filter(F.col(LABEL) == "Bot").count() == 1
+def test_columns_by_name(spark, raw_files, tmp_path):
+    """Other layouts in one run: suffixed names, another order, more columns in front."""
     clean = write(tmp_path / "clean.csv", ",".join([*FEATURES, LABEL]), flow_line(1, "Bot"))
+    fields = flow_line(2, "Bot").split(",")
+    order = [len(FEATURES), *range(len(FEATURES))]
+    first = write(tmp_path / "first.csv", ",".join([LABEL, *FEATURES]),
+                  ",".join(fields[i] for i in order))
+    raw_names = [n.strip() for n in RAW_HEADER.split(",")]
+    more = write(tmp_path / "more.csv", ",".join(["Flow ID", "Source IP", *raw_names]),
+                 "f,1.2.3.4," + flow_line(3, "Bot"))
+    df = read_flows(spark, [*raw_files, clean, first, more], file_column="file")
+    assert df.columns == [*FEATURES, LABEL, "file"] and df.count() == 206
+    bots = {r.file.rsplit("/", 1)[1]: r for r in df.filter(F.col(LABEL) == "Bot").collect()}
+    for name, start in (("tue", 1000), ("clean", 1), ("first", 2), ("more", 3)):
+        row = bots[f"{name}.csv"]
+        assert [row[f] for f in FEATURES] == flow_line(start, "Bot").split(",")[:-1]
+
+
+def test_one_layout_is_one_scan(spark, raw_files):
+    assert read_flows(spark, raw_files)._jdf.queryExecution().toString().count("FileScan csv") == 1
+
+
+def test_missing_columns_fail(spark, raw_files, tmp_path):
     bare = write(tmp_path / "bare.csv", flow_line(2, "Bot"))
-    assert read_flows(spark, [clean, bare], check_header=True).count() == 2
-
-    swapped = [*FEATURES, LABEL]
-    swapped[3], swapped[4] = swapped[4], swapped[3]
-    other = write(tmp_path / "other.csv", ",".join(swapped), flow_line(1, "Bot"))
-    with pytest.raises(Exception, match="unexpected header in .*other.csv"):
-        read_flows(spark, [*raw_files, other], check_header=True).collect()
-    first = write(tmp_path / "first.csv", ",".join([LABEL, *FEATURES]), "x," + "1," * 77 + "1")
-    with pytest.raises(Exception, match="unexpected header in .*first.csv"):
-        build_training_set(spark, [first], str(tmp_path / "bad"), features=FEATURES)
+    with pytest.raises(ValueError, match="no column .*bare.csv"):
+        read_flows(spark, [*raw_files, bare])
+    assert read_flows(spark, bare, header=False).count() == 1
+    short = write(tmp_path / "short.csv", ",".join(FEATURES), flow_line(1, "Bot"))
+    with pytest.raises(ValueError, match="no column Label in .*short.csv"):
+        build_training_set(spark, [short], str(tmp_path / "bad"), features=FEATURES)
 
 
 def test_numeric_schema_cleans_to_the_same(spark, tmp_path):
