@@ -72,7 +72,8 @@ TEXT_FEATURES = ", ".join(_quoted(n) for n in FLOW_FEATURES)
 JSON = "json_object(" + ", ".join(f"{_text(n)}, {_quoted(n)}" for n in TEXT_COLUMNS) + ")"
 DAMAGED = (
     "CASE flow_id % 25 WHEN 1 THEN '{bad' WHEN 2 THEN '' WHEN 3 THEN '[1]' WHEN 4 THEN '3' "
-    f"WHEN 5 THEN NULL ELSE CAST({JSON} AS VARCHAR) END"
+    """WHEN 5 THEN NULL WHEN 6 THEN '{"A": "1"} and more' WHEN 7 THEN '{"A": "1"}{"A": "2"}' """
+    f"ELSE CAST({JSON} AS VARCHAR) END"
 )
 VALID = (
     "coalesce(CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END, false)"

@@ -115,11 +115,21 @@ def rule_scorer(df: DataFrame) -> DataFrame:
 
 
 def mixed_messages(df: DataFrame) -> DataFrame:
-    """Messages of the flows, with every 25th of five kinds damaged."""
+    """Messages of the flows, with every 25th of seven kinds damaged."""
     messages = replay_messages(df, "flow_id", TEXT_COLUMNS, time=F.col("ts"),
                                passthrough=["flow_id"])
     damaged = _by_remainder(
-        F.col("flow_id"), 25, {1: "{bad", 2: "", 3: "[1]", 4: "3", 5: None},
+        F.col("flow_id"),
+        25,
+        {
+            1: "{bad",
+            2: "",
+            3: "[1]",
+            4: "3",
+            5: None,
+            6: '{"A": "1"} and more',
+            7: '{"A": "1"}{"A": "2"}',
+        },
         F.col("value").cast("string"),
     )
     return messages.withColumn("value", damaged.cast("binary"))

@@ -21,5 +21,18 @@ def from_message(text: Column, names: Iterable[str]) -> Column:
 
 
 def is_json_object(text: Column) -> Column:
-    """True for a JSON object; false for arrays, scalars, malformed text and NULL."""
-    return F.json_object_keys(text).isNotNull()
+    """True for one JSON object; false for arrays, scalars, malformed text and NULL.
+
+    Spark's JSON functions stop after the first value, so text or a second object behind
+    it goes unseen. Inside an array and inside an object the text has to be one value, and
+    nothing can close both; the variant parser refuses single quotes.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    inside = F.json_object_keys(F.concat(F.lit('{"k":'), text, F.lit("}")))
+    valid = (
+        F.json_object_keys(text).isNotNull()
+        & alone
+        & (F.size(inside) == 1)
+        & F.try_parse_json(text).isNotNull()
+    )
+    return F.coalesce(valid, F.lit(False))

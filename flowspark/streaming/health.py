@@ -15,7 +15,8 @@ from flowspark.streaming.parsing import clean_flows, decode_messages
 def message_format(messages: DataFrame, passthrough: Sequence[str] = ()) -> DataFrame:
     """Per message: is it a JSON object, how many keys, which first, how it begins."""
     text = decode_messages(messages, passthrough)
-    listed = text.withColumn("keys", F.json_object_keys("json_string"))
+    keys = F.when(is_json_object(F.col("json_string")), F.json_object_keys("json_string"))
+    listed = text.withColumn("keys", keys)
     return listed.select(
         *passthrough,
         F.col("keys").isNotNull().alias("is_valid"),
