@@ -5,7 +5,6 @@ Each is made once per application and data folder.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from typing import Any
 
@@ -13,7 +12,15 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowspark.fixtures import FEEDS, FLOW_FEATURES, TEXT_COLUMNS, events, flows, wide_flows
+from flowspark.fixtures import (
+    FEEDS,
+    FLOW_FEATURES,
+    TEXT_COLUMNS,
+    events,
+    flows,
+    mixed_messages,
+    wide_flows,
+)
 from flowspark.operators.classifier import fit_forest
 from flowspark.operators.sampling import hash_split
 from flowspark.plans.training_set import training_set
@@ -29,6 +36,10 @@ _made: dict[tuple[str, str, str], Any] = {}
 CSV_COLUMNS = ["flow_id", *TEXT_COLUMNS]
 
 
+#: Files of a micro-batch, as a job would limit its intake.
+FILES_PER_TRIGGER = 8
+
+
 def shared(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], Any]) -> Any:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _made:
@@ -37,10 +48,8 @@ def shared(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], Any])
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input that comes as one small file. Inputs of more
-    pieces than cores, as any large table has, are left where they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """The rows in as many pieces as the session has cores, whatever the input's layout."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def feed_paths(spark: SparkSession, sf_dir: str) -> list[str]:
@@ -155,6 +164,17 @@ def wide_topic(spark: SparkSession, sf_dir: str) -> str:
     return shared(spark, sf_dir, "topic-wide", make)
 
 
+def damaged_topic(spark: SparkSession, sf_dir: str) -> str:
+    """Messages, some of them no JSON object, as files."""
+
+    def make():
+        folder = new_folder(spark, "topic-damaged")
+        send(spread(mixed_messages(flows(spark, sf_dir)).drop("flow_id")), folder)
+        return folder
+
+    return shared(spark, sf_dir, "topic-damaged", make)
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay_messages(
         flows(spark, sf_dir), "flow_id", TEXT_COLUMNS, time=F.col("ts"), passthrough=["ts"]
@@ -162,13 +182,17 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def time_slices(df: DataFrame, column: str, slices: int) -> list[DataFrame]:
-    """Consecutive, disjoint ranges of time that together are the input."""
+    """Consecutive, disjoint ranges of time that together are the input. Rows without a
+    time are in the first one."""
     low, high = df.agg(F.min(column), F.max(column)).first()
     step = (high - low) / slices
     bounds = [low + step * i for i in range(1, slices)]
     parts, left = [], F.lit(True)
     for bound in bounds:
-        parts.append(df.filter(left & (F.col(column) < F.lit(bound).cast("timestamp_ntz"))))
+        below = F.col(column) < F.lit(bound).cast("timestamp_ntz")
+        if not parts:
+            below = below | F.col(column).isNull()
+        parts.append(df.filter(left & below))
         left = F.col(column) >= F.lit(bound).cast("timestamp_ntz")
     return [*parts, df.filter(left)]
 
@@ -183,8 +207,3 @@ def topic(spark: SparkSession, sf_dir: str, slices: int = 3) -> str:
         return folder
 
     return shared(spark, sf_dir, "topic", make)
-
-
-def files_per_trigger(spark: SparkSession, folder: str, batches: int = 3) -> int:
-    """File limit that spreads a folder over a few micro-batches, however large it is."""
-    return max(1, math.ceil(len(spark.read.parquet(folder).inputFiles()) / batches))

@@ -299,6 +299,10 @@ WHERE {_SPLIT_NAMES['test']} AND {_below(0.3, 'test:42')} GROUP BY 1, 2""",
         "true AS several_batches FROM predicted GROUP BY 1",
         "stream_health": "SELECT count(*) AS messages, count(*) AS valid, "
         "CAST(0 AS BIGINT) AS invalid FROM flows",
+        "stream_health_damaged": f"SELECT count(*) AS messages, count(*) FILTER ({VALID}) AS valid, "
+        f"count(*) FILTER (NOT {VALID}) AS invalid FROM messages",
+        "stream_rate_limit": "SELECT count(*) AS messages, true AS several_batches, "
+        "true AS within_limit FROM flows",
         "stream_restart": 'SELECT flow_id, "Predicted_Attack" FROM predicted',
         "stream_attacks_per_minute": _PER_MINUTE,
         "stream_score": "SELECT flow_id, CAST(1 AS BIGINT) AS times_streamed, "

@@ -54,7 +54,6 @@ from flowspark.streaming.windows import attacks_per_window_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-STREAM_TIMEOUT = 24 * 3600
 # Groups are classes, or classes and minutes, counted before the shuffle.
 STATE_PARTITIONS = 8
 
@@ -462,7 +461,7 @@ def index_labels(spark, sf_dir):
 @query
 def assemble_features(spark, sf_dir):
     cast = cleaning.cast_features(flows(spark, sf_dir), FLOW_FEATURES, keep=["flow_id"])
-    vectors = classifier.feature_assembler(FLOW_FEATURES).transform(cast)
+    vectors = classifier.assemble(cast, FLOW_FEATURES)
     parts = vector_to_array(classifier.VECTOR)
     return vectors.select(
         "flow_id", *[parts[i].alias(f"f{i}") for i in range(len(FLOW_FEATURES))]
@@ -543,6 +542,8 @@ def train_and_evaluate(spark, sf_dir):
     result = training.train_and_evaluate(
         df, FLOW_FEATURES, key="flow_id", model_path=new_folder(spark, "evaluated")
     )
+    # The rows are computed when they are read, after this returns, from counts made anew.
+    result.release()
     return training.metric_rows(result.metrics)
 
 
@@ -551,14 +552,14 @@ def train_and_evaluate(spark, sf_dir):
 
 def _topic_stream(spark, sf_dir) -> DataFrame:
     folder = inputs.topic(spark, sf_dir)
-    return stream_folder(spark, folder, inputs.files_per_trigger(spark, folder))
+    return stream_folder(spark, folder, inputs.FILES_PER_TRIGGER)
 
 
 def _run_to_parquet(spark, stream: DataFrame, name: str) -> DataFrame:
     output = new_folder(spark, f"{name}-out")
     checkpoint = new_folder(spark, f"{name}-checkpoint")
     started = write_parquet(stream, output, checkpoint, interval=None)
-    finish(started, STREAM_TIMEOUT)
+    finish(started)
     return spark.read.schema(stream.schema).parquet(output)
 
 
@@ -566,7 +567,7 @@ def _run_to_table(spark, stream: DataFrame, name: str) -> DataFrame:
     checkpoint = new_folder(spark, f"{name}-checkpoint")
     table = checkpoint.rsplit("/", 1)[1].replace("-", "_")
     started = write_table(stream, table, checkpoint, state_partitions=STATE_PARTITIONS)
-    finish(started, STREAM_TIMEOUT)
+    finish(started)
     return spark.table(table)
 
 
@@ -588,6 +589,30 @@ def stream_source(spark, sf_dir):
     return _run_to_parquet(spark, stream, "source")
 
 
+@query
+def stream_rate_limit(spark, sf_dir):
+    """No micro-batch takes more files than the limit, and there are several."""
+    stream = _topic_stream(spark, sf_dir).select(
+        F.col("_metadata.file_path").alias("file"), F.current_timestamp().alias("batch")
+    )
+    batches = _run_to_parquet(spark, stream, "limit").groupBy("batch").agg(
+        F.count(F.lit(1)).alias("messages"), F.countDistinct("file").alias("files")
+    )
+    return batches.agg(
+        F.sum("messages").alias("messages"),
+        (F.count(F.lit(1)) > 1).alias("several_batches"),
+        (F.max("files") <= inputs.FILES_PER_TRIGGER).alias("within_limit"),
+    )
+
+
+@query
+def stream_health_damaged(spark, sf_dir):
+    """Counts over a topic with messages that are no JSON object."""
+    folder = inputs.damaged_topic(spark, sf_dir)
+    stream = health.message_health(stream_folder(spark, folder, inputs.FILES_PER_TRIGGER))
+    return _run_to_table(spark, stream, "damaged_health")
+
+
 @query
 def stream_detections_parquet(spark, sf_dir):
     stream = _rule_detections(_topic_stream(spark, sf_dir))
@@ -627,8 +652,8 @@ def stream_restart(spark, sf_dir):
     for part in inputs.time_slices(inputs.messages(spark, sf_dir), "ts", 2):
         send(part, source)
         stream = _rule_detections(stream_folder(spark, source))
-        finish(write_parquet(stream, output, checkpoint, interval=None), STREAM_TIMEOUT)
-    finish(write_parquet(stream, output, checkpoint, interval=None), STREAM_TIMEOUT)
+        finish(write_parquet(stream, output, checkpoint, interval=None))
+    finish(write_parquet(stream, output, checkpoint, interval=None))
     written = _with_id(spark.read.schema(stream.schema).parquet(output))
     return written.select("flow_id", PREDICTED)
 
@@ -659,7 +684,7 @@ def stream_attacks_per_minute(spark, sf_dir):
         started = write_parquet(
             stream, output, checkpoint, interval=None, state_partitions=STATE_PARTITIONS
         )
-        finish(started, STREAM_TIMEOUT)
+        finish(started)
     written = spark.read.schema(stream.schema).parquet(output)
     return written.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
@@ -700,6 +725,6 @@ def stream_detect(spark, sf_dir):
 def stream_detect_wide(spark, sf_dir):
     model = inputs.forest(spark, sf_dir, wide=True)
     folder = inputs.wide_topic(spark, sf_dir)
-    messages = stream_folder(spark, folder, inputs.files_per_trigger(spark, folder))
+    messages = stream_folder(spark, folder, inputs.FILES_PER_TRIGGER)
     stream = detect_with_model(messages, model, passthrough=["key"])
     return _with_id(_run_to_parquet(spark, stream, "detect-wide")).drop("key")

@@ -31,7 +31,11 @@ def finite_or_zero(name: str) -> str:
 
 def value_kind(text: Column) -> Column:
     """What cleaning will find in the text: null, unparsable, nan, +inf, -inf or valid."""
-    number = text.try_cast("double")
+    return kind_of(text, text.try_cast("double"))
+
+
+def kind_of(text: Column, number: Column) -> Column:
+    """The kind of a text whose number is known; ``number`` is used several times."""
     return (
         F.when(text.isNull(), "null")
         .when(number.isNull(), "unparsable")

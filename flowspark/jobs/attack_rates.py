@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import argparse
 
-from flowspark.jobs.options import add_trigger, interval
+from flowspark.jobs.options import add_limit, add_trigger, interval, limit
 from flowspark.session import build_session
 from flowspark.streaming.running import wait_for_any, write_parquet
 from flowspark.streaming.windows import attacks_per_window_stream
@@ -22,11 +22,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--width", default="1 minute")
     parser.add_argument("--lateness", default="10 minutes")
+    add_limit(parser, "files of detections")
     parser.add_argument("--state-partitions", type=int, default=8)
     args = parser.parse_args(argv)
     spark = build_session("attack-rates")
     schema = spark.read.parquet(args.detections).schema
-    detections = spark.readStream.schema(schema).parquet(args.detections)
+    reader = spark.readStream.schema(schema)
+    if limit(args):
+        reader = reader.option("maxFilesPerTrigger", limit(args))
+    detections = reader.parquet(args.detections)
     counts = attacks_per_window_stream(detections, width=args.width, lateness=args.lateness)
     query = write_parquet(
         counts, args.output, args.checkpoint, interval(args), args.state_partitions

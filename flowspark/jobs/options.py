@@ -6,7 +6,9 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowspark.sources.messages import stream_folder, stream_kafka
+from flowspark.sources.messages import read_folder, read_kafka, stream_folder, stream_kafka
+
+MAX_PER_TRIGGER = 1000
 
 
 def add_topic(parser: argparse.ArgumentParser, starting_offsets: str) -> None:
@@ -16,21 +18,41 @@ def add_topic(parser: argparse.ArgumentParser, starting_offsets: str) -> None:
     parser.add_argument("--topic", default="network_traffic")
     parser.add_argument("--starting-offsets", default=starting_offsets)
     parser.add_argument("--fail-on-data-loss", action="store_true")
+    add_limit(parser, "records (Kafka) or files (folder)")
+
+
+def add_limit(parser: argparse.ArgumentParser, what: str) -> None:
     parser.add_argument(
-        "--max-per-trigger", type=int, help="records (Kafka) or files (folder) per micro-batch"
+        "--max-per-trigger",
+        type=int,
+        default=MAX_PER_TRIGGER,
+        help=f"{what} per micro-batch, {MAX_PER_TRIGGER} unless given; 0 for no limit",
     )
 
 
+def limit(args: argparse.Namespace) -> int | None:
+    return args.max_per_trigger or None
+
+
 def open_topic(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.folder:
-        return stream_folder(spark, args.folder, args.max_per_trigger)
+        return stream_folder(spark, args.folder, limit(args))
     return stream_kafka(
         spark,
         args.servers,
         args.topic,
         starting_offsets=args.starting_offsets,
         fail_on_data_loss=args.fail_on_data_loss,
-        max_offsets_per_trigger=args.max_per_trigger,
+        max_offsets_per_trigger=limit(args),
+    )
+
+
+def read_topic(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """What the topic holds now, as a batch."""
+    if args.folder:
+        return read_folder(spark, args.folder)
+    return read_kafka(
+        spark, args.servers, args.topic, fail_on_data_loss=args.fail_on_data_loss
     )
 
 
@@ -43,3 +65,14 @@ def add_trigger(parser: argparse.ArgumentParser) -> None:
 
 def interval(args: argparse.Namespace) -> str | None:
     return None if args.once else args.interval
+
+
+def show_report(report: DataFrame, rows: int, output: str | None = None) -> None:
+    """Print the first lines and how many were left out; write all of them to ``output``."""
+    if output:
+        report.write.mode("overwrite").option("header", True).csv(output)
+    report.show(rows, truncate=False)
+    left_out = report.count() - rows
+    if left_out > 0:
+        where = output or "nowhere; give a folder for the whole report"
+        print(f"{left_out} more lines, written to {where}")

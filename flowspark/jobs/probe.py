@@ -4,32 +4,44 @@ from __future__ import annotations
 
 import argparse
 
-from flowspark.jobs.options import add_topic, open_topic
+from flowspark.jobs.options import add_topic, open_topic, read_topic
 from flowspark.schema import PROBE_FEATURES
 from flowspark.scratch import new_folder
 from flowspark.session import build_session
-from flowspark.streaming.health import message_format, observed, probe_flows, progress_rows
-from flowspark.streaming.running import finish, with_trigger
+from flowspark.streaming.health import (
+    message_format,
+    observed,
+    probe_flows,
+    progress_rows,
+    total_counts,
+)
+from flowspark.streaming.running import run_for, with_trigger
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     add_topic(parser, starting_offsets="earliest")
     parser.add_argument("--seconds", type=float, default=60.0, help="longest time per check")
+    parser.add_argument("--preview", type=int, default=5, help="messages to print")
     args = parser.parse_args(argv)
     spark = build_session("probe")
-    messages = observed(open_topic(spark, args))
-    checks = {"format": message_format(messages), "flows": probe_flows(messages, PROBE_FEATURES)}
-    for name, stream in checks.items():
-        writer = (
-            stream.writeStream.format("console")
-            .option("numRows", 5)
-            .option("truncate", False)
-            .option("checkpointLocation", new_folder(spark, f"probe-{name}"))
+    checks = {
+        "format": message_format,
+        "flows": lambda messages: probe_flows(messages, PROBE_FEATURES),
+    }
+    for name, check in checks.items():
+        # The rows stay on the executors; reports carry counts only.
+        stream = check(observed(open_topic(spark, args)))
+        writer = stream.writeStream.format("noop").option(
+            "checkpointLocation", new_folder(spark, f"probe-{name}")
         )
-        query = finish(with_trigger(writer, None).start(), args.seconds)
+        query = with_trigger(writer, None).start()
+        ended = run_for(query, args.seconds)
         for row in progress_rows(query):
             print(name, row)
+        state = "all read" if ended else f"stopped after {args.seconds} s"
+        print(name, total_counts(query), state)
+        check(read_topic(spark, args).limit(args.preview)).show(args.preview, truncate=False)
 
 
 if __name__ == "__main__":

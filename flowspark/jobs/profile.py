@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from flowspark.jobs.options import show_report
 from flowspark.operators.columns import rename_strip
 from flowspark.operators.profile import invalid_value_profile, profile_by_file
 from flowspark.schema import FEATURES
@@ -17,15 +18,21 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--infer", action="store_true", help="print the inferred schema")
     parser.add_argument("--values", action="store_true", help="count invalid values per column")
     parser.add_argument("--rows", type=int, default=1000, help="lines of the report to print")
+    parser.add_argument("--output", help="folder for the full reports (CSV)")
     args = parser.parse_args(argv)
     spark = build_session("profile")
     if args.infer:
         rename_strip(read_flows(spark, args.input, infer=True)).printSchema()
     raw = read_flows(spark, args.input, file_column="file")
-    profile_by_file(raw, "file").orderBy("file", "count").show(args.rows, truncate=False)
+
+    def output(name: str) -> str | None:
+        return args.output and f"{args.output}/{name}"
+
+    labels = profile_by_file(raw, "file").orderBy("file", "count")
+    show_report(labels, args.rows, output("labels"))
     if args.values:
-        kinds = invalid_value_profile(raw, FEATURES)
-        kinds.orderBy("column", "kind").show(args.rows, truncate=False)
+        kinds = invalid_value_profile(raw, FEATURES).orderBy("column", "kind")
+        show_report(kinds, args.rows, output("values"))
 
 
 if __name__ == "__main__":

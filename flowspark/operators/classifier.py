@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowspark.functions.labels import decode_prediction
+from flowspark.operators.columns import computed_once
 from flowspark.schema import LABEL, PREDICTED, quoted
 
 INDEXED = "label_indexed"
@@ -34,6 +35,11 @@ def feature_assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid="skip")
 
 
+def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The feature vector beside the columns, each feature computed once."""
+    return feature_assembler(features).transform(computed_once(df, features))
+
+
 def forest_pipeline(
     features: Sequence[str],
     label: str = LABEL,
@@ -99,14 +105,17 @@ def score(
 ) -> DataFrame:
     """Score a batch or a stream and name the class. The label column may be missing.
 
-    Rows with a NULL or NaN feature are skipped. The test for them computes every
-    feature a second time, below the projections that made them; cleaned rows need no
-    test, and with ``skip_invalid=False`` such a row is an error instead.
+    Rows with a NULL or NaN feature are skipped; with ``skip_invalid=False``, for cleaned
+    rows, such a row is an error instead. Features are made once, before the test for
+    NULLs, and the forest runs once, before any filter on the class.
     """
-    if not skip_invalid:
+    if skip_invalid:
+        df = computed_once(df, model.stages[1].getInputCols())
+    else:
         checked = model.stages[1].copy().setHandleInvalid("error")
         model = PipelineModel([model.stages[0], checked, *model.stages[2:]])
     scored = model.transform(df)
+    scored = computed_once(scored, ["prediction"])  # the rest stays prunable
     return with_predicted_class(scored, fitted_labels(model) if labels is None else labels)
 
 

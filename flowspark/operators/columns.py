@@ -6,6 +6,7 @@ import logging
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from flowspark.schema import DASHBOARD_FEATURES, LABEL, PREDICTED, quoted
 
@@ -49,3 +50,15 @@ def dashboard_projection(
     wanted = [*passthrough, predicted, *features]
     present = set(df.columns)
     return df.select(*[quoted(c) for c in wanted if c in present])
+
+
+def computed_once(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The same rows, with these columns behind a generator.
+
+    Catalyst copies an expression into every later filter on its result; it does not move
+    a filter below a generator, so what made the columns runs once for each row.
+    """
+    fields = F.struct(*[F.col(quoted(n)).alias(n) for n in names])
+    rest = [quoted(c) for c in df.columns if c not in set(names)]
+    made = df.select(*rest, F.inline(F.array(fields)))
+    return made.select(*[quoted(c) for c in df.columns])

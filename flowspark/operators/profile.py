@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowspark.functions.numeric import value_kind
+from flowspark.functions.numeric import kind_of
 from flowspark.schema import DEFAULT_CLASS, LABEL, PREDICTED, quoted
 
 
@@ -83,8 +83,10 @@ def invalid_value_profile(df: DataFrame, features: Sequence[str]) -> DataFrame:
     shuffled.
     """
     long = df.unpivot([], [F.col(quoted(c)).alias(c) for c in features], "column", "value")
+    # A projection of its own makes the number once for the tests on it.
+    parsed = long.withColumn("number", F.col("value").try_cast("double"))
     return (
-        long.groupBy("column", value_kind(F.col("value")).alias("kind"))
+        parsed.groupBy("column", kind_of(F.col("value"), F.col("number")).alias("kind"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
 

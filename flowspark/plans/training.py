@@ -28,9 +28,11 @@ class Evaluation:
     model: PipelineModel
     metrics: DataFrame
     confusion: DataFrame
+    counts: DataFrame
 
     def release(self) -> None:
-        self.confusion.unpersist()
+        """Give back the kept counts; the frames stay usable and count anew."""
+        self.counts.unpersist()
 
 
 def split_sets(
@@ -61,7 +63,7 @@ def evaluate(model: PipelineModel, test: DataFrame, label: str = LABEL) -> Evalu
     counts = row_counts(score(model, test), [label, INDEXED, "prediction"])
     counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
     confusion = counts.select(label, INDEXED, "prediction", "count").orderBy(label, "prediction")
-    return Evaluation(model, metrics_from_counts(counts), confusion)
+    return Evaluation(model, metrics_from_counts(counts), confusion, counts)
 
 
 def train_and_evaluate(
@@ -72,12 +74,18 @@ def train_and_evaluate(
     seed: int = 42,
     label: str = LABEL,
     from_files: bool = False,
+    train_share: float = 0.8,
+    scored_share: float = 0.3,
     **params,
 ) -> Evaluation:
-    """Split, fit, evaluate on held-out rows and save the model if a path is given."""
+    """Split, fit, evaluate on held-out rows and save the model if a path is given.
+
+    ``train_share`` of the rows is learned from and ``scored_share`` of the rest scored;
+    1.0 scores all that is held out.
+    """
     if features is None:
         features = [c for c in df.columns if c not in (label, key)]
-    train, test = split_sets(df, key, seed=seed, from_files=from_files)
+    train, test = split_sets(df, key, train_share, scored_share, seed, from_files)
     model = fit_forest(train, features, label, seed=seed, **params)
     result = evaluate(model, test, label)
     if model_path is not None:

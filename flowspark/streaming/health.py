@@ -58,6 +58,15 @@ def progress_rows(query: StreamingQuery, name: str = "health") -> list[dict]:
     return rows
 
 
+def total_counts(query: StreamingQuery, name: str = "health") -> dict[str, int]:
+    """The counts of :func:`observed` over all reports the query still holds."""
+    totals = {"messages": 0, "valid": 0}
+    for row in progress_rows(query, name):
+        for count in totals:
+            totals[count] += row.get(count, 0)
+    return totals
+
+
 def probe_flows(messages: DataFrame, features: Sequence[str]) -> DataFrame:
     """End-to-end parse of a few features, as the health check runs it."""
     return clean_flows(messages, features)

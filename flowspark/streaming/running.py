@@ -84,6 +84,15 @@ def finish(query: StreamingQuery, timeout: float | None = None) -> StreamingQuer
     return query
 
 
+def run_for(query: StreamingQuery, seconds: float) -> bool:
+    """Wait for the end at most ``seconds`` seconds, then stop the query. True if it had
+    ended; its progress reports tell what it did either way, and a failure is raised."""
+    try:
+        return bool(query.awaitTermination(seconds))
+    finally:
+        query.stop()
+
+
 def wait_for_any(queries: Sequence[StreamingQuery]) -> None:
     """Wait until one query ends or fails, then stop the others; a failure is raised.
 

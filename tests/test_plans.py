@@ -3,13 +3,20 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowspark.catalog.queries import QUERIES
 from flowspark.fixtures import FLOW_FEATURES, flows
-from flowspark.operators.cleaning import cast_and_clean, map_labels
+from flowspark.operators.cleaning import cast_and_clean, cast_features, map_labels
 from flowspark.operators.classifier import fit_forest, score
-from flowspark.operators.filters import exclude_class
-from flowspark.operators.profile import attack_summary, attacks_per_window, preview
+from flowspark.operators.filters import alerts, exclude_class
+from flowspark.operators.numbering import number_rows
+from flowspark.operators.profile import (
+    attack_summary,
+    attacks_per_window,
+    invalid_value_profile,
+    preview,
+)
 from flowspark.operators.sampling import hash_sample, stratified_sample
 from flowspark.plans.detection import detect_with_model
 from flowspark.plans.training_set import training_set
@@ -117,3 +124,27 @@ def test_numeric_schema():
     fields = flow_schema(numeric=True)
     assert len(fields) == 79 and fields["Idle Min"].dataType.simpleString() == "double"
     assert fields[LABEL].dataType.simpleString() == "string"
+
+
+def test_forest_runs_once_under_filters(spark):
+    train = cast_and_clean(map_labels(flows(spark, SF)), FLOW_FEATURES, keep_label=True)
+    model = fit_forest(train, FLOW_FEATURES, LABEL, num_trees=2, max_depth=2)
+    cast = cast_features(flows(spark, SF), FLOW_FEATURES, keep=["flow_id"])
+    for skip in (True, False):
+        scored = score(model, cast, skip_invalid=skip)
+        plain, filtered = plan(scored), plan(alerts(scored))
+        assert filtered.count("UDF(") == plain.count("UDF(")
+        assert filtered.count("as double)") == plain.count("as double)")
+
+
+def test_numbers_are_made_once_for_their_kind(spark):
+    text = plan(invalid_value_profile(flows(spark, SF), FLOW_FEATURES))
+    assert text.count("try_cast") == 1
+
+
+def test_numbering_is_no_single_task(spark):
+    df = spark.range(0, 10**12, 10**7).select((F.col("id") * 7919 % 10**12).alias("k"))
+    text = plan(number_rows(df, "k"))
+    # Only the counts of the ranges meet in one task, not the rows.
+    assert text.count("SinglePartition") == 1
+    assert "HashAggregate" in text[text.index("SinglePartition") :].split("\n", 2)[1]
