@@ -24,7 +24,7 @@ from flowspark.fixtures import (
 from flowspark.operators.classifier import fit_forest
 from flowspark.operators.sampling import hash_split
 from flowspark.plans.training_set import training_set
-from flowspark.schema import FEATURES, LABEL, string_schema
+from flowspark.schema import FEATURES, LABEL, quoted, string_schema
 from flowspark.scratch import new_folder
 from flowspark.sinks.messages import replay_messages, send
 from flowspark.sinks.training_set import write_training_set
@@ -71,6 +71,21 @@ def feed_paths(spark: SparkSession, sf_dir: str) -> list[str]:
     return shared(spark, sf_dir, "feeds", make)
 
 
+def other_layout(spark: SparkSession, sf_dir: str, names: list[str]) -> list[str]:
+    """The flows as CSV: odd ids in files with these columns, even ids in the usual ones."""
+
+    def make():
+        folder = new_folder(spark, "layouts")
+        rows = flows(spark, sf_dir).select(*map(quoted, CSV_COLUMNS))
+        for part, columns in enumerate((CSV_COLUMNS, names)):
+            known = [F.col(quoted(n)) if n in CSV_COLUMNS else F.lit("x").alias(n) for n in columns]
+            own = rows.filter(F.col("flow_id") % 2 == part).select(*known)
+            own.write.option("header", True).csv(f"{folder}/{part}")
+        return [f"{folder}/0", f"{folder}/1"]
+
+    return shared(spark, sf_dir, f"layout-{','.join(names)}", make)
+
+
 def feed_scan(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """One scan over all feeds; ``feed`` tells them apart."""
     df = read_flows(

@@ -80,6 +80,10 @@ VALID = (
 )
 
 
+#: Scans that keep the label as it is in the file.
+LABEL_AS_IS = ("scan_csv", "scan_csv_reordered", "scan_csv_extra_columns")
+
+
 def _digest(seed: str) -> str:
     return (
         f"CAST('0x' || substr(md5(CAST(flow_id AS VARCHAR) || ':{seed}'), 1, 8) AS BIGINT)"
@@ -187,7 +191,7 @@ def oracle_sql() -> dict[str, str]:
     tests = f"SELECT * FROM sampled WHERE {_SPLIT_NAMES['test']}"
     wide_columns = ", ".join(_quoted(n) for n in FEATURES)
     sql = {
-        "scan_csv": _ETL_CLEAN.replace("FROM clean", "FROM raw_label_clean"),
+        **dict.fromkeys(LABEL_AS_IS, _ETL_CLEAN.replace("FROM clean", "FROM raw_label_clean")),
         "scan_csv_inferred": 'SELECT CAST(flow_id AS INTEGER) AS flow_id, '
         'CAST("Destination Port" AS INTEGER) AS "Destination Port", '
         'CAST("Flow Duration" AS INTEGER) AS "Flow Duration", "Label" FROM flows',
@@ -254,6 +258,7 @@ FROM flows GROUP BY 1, 2 WINDOW f AS (PARTITION BY flow_id % 8)""",
         "union_strata": 'SELECT flow_id, "Label" FROM sampled',
         "union_files": _ETL_CLEAN,
         "etl_training_set": _TRAINING_SET,
+        "build_training_set_csv": _TRAINING_SET,
         "etl_parquet_round_trip": _TRAINING_SET,
         "flows_to_json": "SELECT CAST(flow_id AS VARCHAR) AS key, "
         f'CAST({JSON} AS VARCHAR) AS value, ts AS "timestamp" FROM flows',
@@ -310,7 +315,7 @@ WHERE {_SPLIT_NAMES['test']} AND {_below(0.3, 'test:42')} GROUP BY 1, 2""",
     }
     raw_label_clean = f'raw_label_clean AS (SELECT flow_id, {CLEAN}, "Label" FROM flows)'
     result = {
-        name: _sql(body, *([raw_label_clean] if name == "scan_csv" else []))
+        name: _sql(body, *([raw_label_clean] if name in LABEL_AS_IS else []))
         for name, body in sql.items()
     }
     result["etl_clean_wide"] = _sql(

@@ -33,7 +33,7 @@ from flowspark.operators import (
 )
 from flowspark.plans import training
 from flowspark.plans.detection import detect_with_model, model_scorer
-from flowspark.plans.training_set import training_set
+from flowspark.plans.training_set import build_training_set, training_set
 from flowspark.schema import FEATURES, LABEL, PREDICTED, flow_schema, string_schema
 from flowspark.scratch import new_folder
 from flowspark.session import tune
@@ -362,6 +362,41 @@ def etl_training_set(spark, sf_dir):
     return training_set(flows(spark, sf_dir), FLOW_FEATURES, key="flow_id")
 
 
+@query
+def build_training_set_csv(spark, sf_dir):
+    """The job as it runs: CSV files, keyed draw, Parquet."""
+    output = new_folder(spark, "training-csv")
+    build_training_set(
+        spark, inputs.feed_paths(spark, sf_dir), output, features=FLOW_FEATURES, key="flow_id"
+    )
+    written = read_training_set(spark, output)
+    return written.withColumn("flow_id", F.col("flow_id").cast("bigint"))
+
+
+@query
+def scan_csv_reordered(spark, sf_dir):
+    """Files whose columns stand in another order, beside files of the usual one."""
+    return _scan_other_layout(spark, sf_dir, [*reversed(inputs.CSV_COLUMNS)])
+
+
+@query
+def scan_csv_extra_columns(spark, sf_dir):
+    """Files with columns in front that no schema knows, beside files of the usual layout."""
+    return _scan_other_layout(spark, sf_dir, ["Flow ID", "Source IP", *inputs.CSV_COLUMNS])
+
+
+def _scan_other_layout(spark, sf_dir, names):
+    paths = inputs.other_layout(spark, sf_dir, names)
+    raw = read_flows(spark, paths, schema=string_schema(inputs.CSV_COLUMNS))
+    clean = cleaning.cast_and_clean(
+        raw.withColumn("flow_id", F.col("flow_id").cast("bigint")),
+        FLOW_FEATURES,
+        keep_label=True,
+        passthrough=["flow_id"],
+    )
+    return clean
+
+
 @query
 def etl_training_set_wide(spark, sf_dir):
     return training_set(inputs.wide_parquet(spark, sf_dir), FEATURES, key="flow_id")

@@ -19,10 +19,12 @@ def key_digest(key: Column, seed: int, purpose: str | None = None) -> Column:
     """Hex md5 of ``key:seed`` or ``key:purpose:seed``.
 
     Decisions taken one after the other on the same key need different purposes:
-    under equal digests a 10 % sample would lie wholly inside an 80 % split.
+    under equal digests a 10 % sample would lie wholly inside an 80 % split. A NULL key
+    fails the job: rows that share one would be kept or lost together.
     """
     suffix = f":{purpose}:{seed}" if purpose else f":{seed}"
-    return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(suffix)))
+    known = F.coalesce(key.cast("string"), F.raise_error("a row to draw has no key").cast("string"))
+    return F.md5(F.concat(known, F.lit(suffix)))
 
 
 def digest_below(digest: Column, fraction: float) -> Column:

@@ -13,6 +13,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--input", nargs="+", required=True, help="CSV files, folders or globs")
     parser.add_argument("--output", required=True)
+    parser.add_argument("--key", help="column of unique values that decides what is drawn")
     parser.add_argument("--fraction", type=float, default=COMMON_FRACTION)
     parser.add_argument("--default-class", default=DEFAULT_CLASS)
     parser.add_argument("--seed", type=int, default=42)
@@ -26,6 +27,7 @@ def main(argv: list[str] | None = None) -> None:
         by_label=args.by_label,
         rebalance=args.rebalance,
         features=FEATURES,
+        key=args.key,
         default_fraction=args.fraction,
         default_class=args.default_class,
         seed=args.seed,

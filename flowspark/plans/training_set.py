@@ -5,12 +5,19 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from flowspark.operators.cleaning import cast_and_clean, map_labels
 from flowspark.operators.columns import normalize_columns
 from flowspark.operators.filters import exclude_class
 from flowspark.operators.sampling import stratified_sample
-from flowspark.schema import COMMON_FRACTION, DEFAULT_CLASS, EXCLUDED_CLASS
+from flowspark.schema import (
+    COMMON_FRACTION,
+    DEFAULT_CLASS,
+    EXCLUDED_CLASS,
+    FEATURES,
+    flow_schema,
+)
 from flowspark.sinks.training_set import write_training_set, written_counts
 from flowspark.sources.flow_csv import read_flows
 
@@ -44,9 +51,20 @@ def build_training_set(
     output: str,
     by_label: bool = False,
     rebalance: bool | None = None,
+    features: Sequence[str] = FEATURES,
+    key: str | None = None,
     **options,
 ) -> DataFrame:
-    """CSV files to the Parquet set at ``output``; returns its rows per class."""
-    raw = read_flows(spark, paths)
-    write_training_set(training_set(raw, **options), output, by_label, rebalance)
+    """CSV files to the Parquet set at ``output``; returns its rows per class.
+
+    With ``key``, a column of unique values in the files, rows are drawn by its digest and
+    it stays in the set, so a later split can use it too. Files without one are drawn by
+    ``rand``, which follows the scan: the same files cut into other tasks give other rows.
+    """
+    schema = flow_schema(features)
+    if key is not None:
+        schema = StructType([StructField(key, StringType(), True), *schema])
+    raw = read_flows(spark, paths, schema=schema)
+    rows = training_set(raw, features=features, key=key, **options)
+    write_training_set(rows, output, by_label, rebalance)
     return written_counts(spark, output)
