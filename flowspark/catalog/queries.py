@@ -471,6 +471,26 @@ def parse_valid_messages(spark, sf_dir):
     return cleaning.cast_and_clean(parsed, FLOW_FEATURES, passthrough=["flow_id"])
 
 
+@query
+def parse_topic(spark, sf_dir):
+    """The topic's messages to clean flows, read as a batch."""
+    clean = parsing.clean_flows(
+        read_folder(spark, inputs.topic(spark, sf_dir)), FLOW_FEATURES, passthrough=["key"]
+    )
+    return _columns(_with_id(clean), "flow_id", *FLOW_FEATURES)
+
+
+@query
+def replay_wide(spark, sf_dir):
+    """All 78 features of every flow sent as messages, counted while they are written."""
+    folder = new_folder(spark, "replayed-wide")
+    messages = replay_messages(inputs.wide_parquet(spark, sf_dir), "flow_id", [*FEATURES, LABEL])
+    totals = send(messages, folder)
+    return read_folder(spark, folder).agg(
+        F.lit(totals.sent).cast("bigint").alias("sent"), F.count(F.lit(1)).alias("written")
+    )
+
+
 @query
 def parse_messages_wide(spark, sf_dir):
     messages = read_folder(spark, inputs.wide_topic(spark, sf_dir))
@@ -538,6 +558,38 @@ def score_invariants(spark, sf_dir):
     )
 
 
+@query
+def forest_shape(spark, sf_dir):
+    """Trees, classes and the importances' sum of the fitted forest."""
+    rows = classifier.feature_importances(spark, inputs.forest(spark, sf_dir), FLOW_FEATURES)
+    return rows.groupBy("trees", "classes").agg(
+        F.count(F.lit(1)).alias("features"),
+        F.round(F.sum("importance"), 6).alias("importance"),
+        F.count_if(F.col("importance") >= 0).alias("not_negative"),
+    )
+
+
+@query
+def evaluation_agrees(spark, sf_dir):
+    """The four metrics of the evaluation beside those of the scored rows themselves."""
+    df = read_training_set(spark, inputs.training_parquet(spark, sf_dir))
+    result = training.train_and_evaluate(df, FLOW_FEATURES, key="flow_id")
+    result.release()
+    _, test = training.split_sets(df, "flow_id")
+    scored = classifier.score(result.model, test)
+    n = F.count(F.lit(1))
+    hit = F.count_if(F.col(PREDICTED) == F.col(LABEL))
+    rows, hits = scored.agg(n, hit / n).first()
+    # Weighted recall is the accuracy: each class's recall times its share of the rows.
+    return result.metrics.select(
+        F.lit(rows).cast("bigint").alias("rows"),
+        (F.abs(F.col("accuracy") - hits) < 1e-9).alias("accuracy_agrees"),
+        (F.abs(F.col("weightedRecall") - hits) < 1e-9).alias("recall_agrees"),
+        F.col("weightedPrecision").between(0, 1).alias("precision_in_range"),
+        F.col("f1").between(0, 1).alias("f1_in_range"),
+    )
+
+
 @query
 def model_round_trip(spark, sf_dir):
     """Scores of the saved and reloaded model beside those of the model itself."""
@@ -756,6 +808,18 @@ def stream_detect(spark, sf_dir):
     return _columns(written, "flow_id", PREDICTED, *FLOW_FEATURES)
 
 
+@query
+def stream_detect_messages(spark, sf_dir):
+    """Each message of the topic once, with its clean features and a class of the model."""
+    model = inputs.forest(spark, sf_dir)
+    stream = detect_with_model(
+        _topic_stream(spark, sf_dir), model, FLOW_FEATURES, passthrough=["key"]
+    )
+    written = _with_id(_run_to_parquet(spark, stream, "detect-messages"))
+    known = F.col(PREDICTED).isin(classifier.fitted_labels(model)).alias("known_class")
+    return written.select("flow_id", *[f"`{n}`" for n in FLOW_FEATURES], known)
+
+
 @query
 def stream_detect_wide(spark, sf_dir):
     model = inputs.forest(spark, sf_dir, wide=True)
