@@ -10,7 +10,7 @@ import argparse
 
 from flowspark.jobs.options import add_limit, add_trigger, interval, limit
 from flowspark.session import build_session
-from flowspark.streaming.running import wait_for_any, write_parquet
+from flowspark.streaming.running import ROCKSDB, wait_for_any, write_parquet
 from flowspark.streaming.windows import attacks_per_window_stream
 
 
@@ -26,6 +26,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--state-partitions", type=int, default=8)
     args = parser.parse_args(argv)
     spark = build_session("attack-rates")
+    for name, value in ROCKSDB.items():
+        spark.conf.set(name, value)
     schema = spark.read.parquet(args.detections).schema
     reader = spark.readStream.schema(schema)
     if limit(args):

@@ -1,6 +1,7 @@
 """Score a topic with a saved model.
 
-``--output`` keeps the detections as a Parquet table; ``--dashboard`` prints every
+``--output`` keeps the detections, with their messages' keys, as a Parquet table of one
+folder a day; ``--dashboard`` prints every
 micro-batch and keeps its class counts instead.
 """
 
@@ -8,6 +9,8 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import functions as F
+
 from flowspark.jobs.options import add_topic, add_trigger, interval, open_topic
 from flowspark.operators.classifier import load_model
 from flowspark.plans.detection import detect_with_model
@@ -38,10 +41,14 @@ def main(argv: list[str] | None = None) -> None:
         model,
         features=model.stages[1].getInputCols(),
         labels=LITERAL_DECODE_LABELS if args.literal_labels else None,
+        passthrough=["key"],
         valid_only=args.valid_only,
     )
     if args.output:
-        query = write_parquet(detections, args.output, args.checkpoint, interval(args))
+        dated = detections.withColumn("detected_on", F.to_date("processing_time"))
+        query = write_parquet(
+            dated, args.output, args.checkpoint, interval(args), partition_by=["detected_on"]
+        )
     else:
         writer = (
             detections.writeStream.foreachBatch(dashboard_writer(args.dashboard))

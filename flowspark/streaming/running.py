@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+# State outside the JVM's heap, of which a checkpoint writes the changes only.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
@@ -41,15 +48,18 @@ def write_parquet(
     checkpoint: str,
     interval: str | None = "5 seconds",
     state_partitions: int | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Append to a Parquet table. The sink's log makes a restarted query continue
-    without repeating or losing rows."""
+    without repeating or losing rows. ``partition_by`` gives each value a folder."""
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .option("path", path)
     )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     with state_stores(stream.sparkSession, state_partitions):
         return with_trigger(writer, interval).start()
 

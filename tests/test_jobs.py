@@ -45,7 +45,9 @@ def test_jobs(spark, work, capsys):
                  "--checkpoint", at("c1"), "--output", at("detections")])
     found = spark.read.parquet(at("detections"))
     assert found.count() == 1000
-    assert found.columns == ["kafka_timestamp", "processing_time", PREDICTED, *DASHBOARD_FEATURES]
+    assert found.columns == ["key", "kafka_timestamp", "processing_time", PREDICTED,
+                             *DASHBOARD_FEATURES, "detected_on"]
+    assert found.select("key").distinct().count() == 1000
     assert found.filter(F.col(PREDICTED) == "Unknown").count() == 0
 
     # one message a day ahead closes the windows of the others
