@@ -14,6 +14,7 @@ further columns do not matter.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -21,12 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark.llm.common import ship
-from flowspark.llm.vocabulary import PRE_TOKEN, Vocabulary, chunks, default_path, load
+from flowspark.llm.vocabulary import PAIR, PRE_TOKEN, Vocabulary, chunks, default_path, load
 
 WHITE = regex.compile(r"\s{2,}")
 
 #: Remembered chunks and token pairs of one worker; both start anew beyond it.
 REMEMBERED = 400_000
+#: Texts whose new pre-tokens are found in one pass.
+LEARNED_TEXTS = 500
 
 
 class PrefixCounter:
@@ -34,8 +37,12 @@ class PrefixCounter:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
+        self._merge, self._left, self._right = (
+            vocabulary.merged.get, vocabulary.left, vocabulary.right
+        )
         self._spaced: dict[str, list[int]] = {}
         self._bare: dict[str, list[int]] = {}
+        self._pieces: dict[str, bytes | list[int]] = {}
         self._stable: dict[int, bool] = {}
 
     def stable(self, left: int, right: int) -> bool:
@@ -45,59 +52,109 @@ class PrefixCounter:
         must never have a merge that comes before the one just undone; between equal merges
         the left one comes first.
         """
-        key = left << 20 | right
-        known = self._stable.get(key)
+        pair = left << PAIR | right
+        known = self._stable.get(pair)
         if known is not None:
             return known
-        merged, parts = self.vocabulary.merged, self.vocabulary.parts
+        merge, left_of, right_of = self._merge, self._left, self._right
         bound, result = 1 << 62, True
         while True:
-            if merged.get((left, right), bound) < bound:
+            whole = merge(left << PAIR | right)
+            if whole is not None and whole < bound:
                 result = False
                 break
-            if left > right and left in parts:
-                bound, left = left, parts[left][1]
-            elif right in parts:
-                bound, right = right + 1, parts[right][0]
-            elif left in parts:
-                bound, left = left, parts[left][1]
+            if left > right:
+                bound, left = left, right_of[left]
             else:
+                bound, right = right + 1, left_of[right]
+            if left < 0 or right < 0:  # what came last is a byte, so both are
                 break
         if len(self._stable) >= REMEMBERED:
             self._stable.clear()
-        self._stable[key] = result
+        self._stable[pair] = result
         return result
 
-    def piece(self, data: bytes) -> list[int]:
-        """Tokens of every byte prefix of a pre-token, the empty one first."""
-        id_of, longest, stable = self.vocabulary.id_of, self.vocabulary.longest, self.stable
-        last, count = [-1], [0]
-        for end in range(1, len(data) + 1):
-            for start in range(max(0, end - longest), end):
-                token = id_of.get(data[start:end])
-                if token is not None and (start == 0 or stable(last[start], token)):
-                    last.append(token)
-                    count.append(count[start] + 1)
-                    break
-        return count
-
-    def _chunk(self, chunk: str) -> bytes | list[int]:
-        """Tokens of every prefix of a chunk, in code points, the empty one left out."""
-        counts: list[int] = []
-        base = 0
-        for piece in PRE_TOKEN.findall(chunk):
-            inner = self.piece(piece.encode())
-            if piece.isascii():
-                ends = inner[1:]
+    def solve(self, pieces: list[str]) -> None:
+        """Finds and remembers the prefix counts of sorted pre-tokens.
+
+        At each place one token at most can end the prefix, so the order of trying does not
+        matter: the last token grown by a byte comes first, then new tokens from the
+        shortest on. What a pre-token shares with the one before it is taken over.
+        """
+        find, longest, stable = self.vocabulary.id_of.get, self.vocabulary.longest, self.stable
+        last, count, begin = [-1], [0], [0]
+        before = b""
+        for piece in pieces:
+            data = piece.encode()
+            common, most = 0, min(len(before), len(data))
+            while common < most and before[common] == data[common]:
+                common += 1
+            del last[common + 1 :], count[common + 1 :], begin[common + 1 :]
+            start = begin[-1]
+            for end in range(common + 1, len(data) + 1):
+                token = find(data[start:end])
+                if token is None or (start and not stable(last[start], token)):
+                    for start in range(end - 1, max(-1, end - longest - 1), -1):
+                        token = find(data[start:end])
+                        if token is not None and (not start or stable(last[start], token)):
+                            break
+                last.append(token)
+                count.append(count[start] + 1)
+                begin.append(start)
+            before = data
+            if len(data) == len(piece):
+                counts = count[1:]
             else:
-                ends, place = [], 0
+                counts, place = [], 0
                 for char in piece:
                     place += len(char.encode())
-                    ends.append(inner[place])
+                    counts.append(count[place])
             if len(piece) == 3 and piece[0] == "'" and piece[1].isalpha():
-                ends[1] = 2  # a contraction cut short is an apostrophe and a letter
-            counts.extend(base + n for n in ends)
-            base += inner[-1]
+                counts[1] = 2  # a contraction cut short is an apostrophe and a letter
+            self._pieces[piece] = bytes(counts) if max(counts) < 256 else counts
+
+    def _ends(self, piece: str) -> bytes | list[int]:
+        """Tokens of every prefix of a pre-token, in code points, the empty one left out."""
+        known = self._pieces.get(piece)
+        if known is None:
+            self.solve([piece])
+            known = self._pieces[piece]
+        return known
+
+    def learn(self, texts: list[str]) -> None:
+        """Remembers what these texts need, new pre-tokens in one sorted pass."""
+        if len(self._spaced) + len(self._bare) >= REMEMBERED:
+            self._spaced.clear()
+            self._bare.clear()
+            self._pieces.clear()
+        spaced: set[str] = set()
+        bare: set[str] = set()
+        for text in texts:
+            for segment in self.vocabulary.segments(text)[::2]:
+                found, cut_at_spaces = chunks(segment)
+                if cut_at_spaces:
+                    bare.add(found[0])
+                    spaced.update(found[1:])
+                else:
+                    bare.update(found)
+        bare.discard("")
+        found = [(self._bare, c, c) for c in bare - self._bare.keys()]
+        found += [(self._spaced, c, " " + c) for c in spaced - self._spaced.keys()]
+        split = [PRE_TOKEN.findall(chunk) for _, _, chunk in found]
+        self.solve(sorted(set(chain.from_iterable(split)) - self._pieces.keys()))
+        for (memory, key, _), pieces in zip(found, split):
+            memory[key] = self._joined(pieces)
+
+    def _joined(self, pieces: list[str]) -> bytes | list[int]:
+        """Tokens of every prefix of a chunk of these pre-tokens, the empty one left out."""
+        if len(pieces) == 1:
+            return self._ends(pieces[0])
+        counts: list[int] = []
+        base = 0
+        for piece in pieces:
+            ends = self._ends(piece)
+            counts += [base + n for n in ends] if base else ends
+            base += ends[-1]
         return bytes(counts) if max(counts) < 256 else counts
 
     def _known(self, memory: dict, found: list[str], lead: str) -> list:
@@ -108,15 +165,12 @@ class PrefixCounter:
                 if counts is None:
                     chunk = found[i]
                     known[i] = memory.get(chunk) or memory.setdefault(
-                        chunk, self._chunk(lead + chunk)
+                        chunk, self._joined(PRE_TOKEN.findall(lead + chunk))
                     )
         return known
 
     def parts(self, text: str) -> list:
         """Prefix counts inside each chunk of the text, in order."""
-        if len(self._spaced) + len(self._bare) >= REMEMBERED:
-            self._spaced.clear()
-            self._bare.clear()
         out: list = []
         for i, segment in enumerate(self.vocabulary.segments(text)):
             if i % 2:  # an added token is not cut
@@ -140,21 +194,23 @@ class PrefixCounter:
             counts += [base + n for n in part]
         total = counts[-1]
         for run in WHITE.finditer(text):  # cut inside a run, the run so far is one pre-token
-            start, inner, place = run.start(), self.piece(run[0].encode()), 0
-            for i, char in enumerate(run[0], 1):
-                place += len(char.encode())
-                counts[start + i] = counts[start] + inner[place]
+            start = run.start()
+            for i, n in enumerate(self._ends(run[0]), 1):
+                counts[start + i] = counts[start] + n
         counts[-1] = total
         return counts
 
     def longest_within(self, text: str, budget: int) -> int:
         """Code points of the longest prefix of at most ``budget`` tokens."""
-        total = end = 0
+        total = start = 0
         for part in self.parts(text):
-            total, end = total + part[-1], end + len(part)
-            if total > budget:
-                inside = self.prefixes(text[: end + 1])
+            if total + part[-1] <= budget:
+                total, start = total + part[-1], start + len(part)
+                continue
+            if WHITE.search(text, max(0, start - 1), start + len(part) + 1):
+                inside = self.prefixes(text[: start + len(part) + 1])
                 return max(i for i, n in enumerate(inside) if n <= budget)
+            return start + max((i for i, n in enumerate(part, 1) if total + n <= budget), default=0)
         return len(text)
 
 
@@ -202,7 +258,11 @@ def token_counts(docs: DataFrame, limit: int = 512, path: str | None = None) ->
         known = counter(path)
         for batch in batches:
             texts = batch.to_pylist()
-            tokens = [known.count(t) for t in texts]
+            tokens: list[int] = []
+            for start in range(0, len(texts), LEARNED_TEXTS):
+                part = texts[start : start + LEARNED_TEXTS]
+                known.learn(part)
+                tokens += map(known.count, part)
             fitting = [
                 known.longest_within(t, limit) if n > limit else len(t)
                 for t, n in zip(texts, tokens)

@@ -19,6 +19,8 @@ import regex
 PRE_TOKEN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
+#: Bits of the right part in a pair of ids.
+PAIR = 24
 INNER_SPACE = re.compile(r"\s (?!\S)")
 
 
@@ -50,13 +52,17 @@ class Vocabulary:
         }
         self.id_of = {b: i for i, b in self.bytes_of.items()}
         self.longest = max(map(len, self.id_of))
-        self.merged: dict[tuple[int, int], int] = {}
-        self.parts: dict[int, tuple[int, int]] = {}
+        #: Merges by both parts, ``left << PAIR | right``, and the parts of each token.
+        self.merged: dict[int, int] = {}
+        self.left, self.right = [-1] * len(model["vocab"]), [-1] * len(model["vocab"])
+        before = -1
         for left, right in model["merges"]:
-            pair = (model["vocab"][left], model["vocab"][right])
             whole = model["vocab"][left + right]
-            self.merged[pair] = whole
-            self.parts[whole] = pair
+            if whole <= before:
+                raise ValueError("ids must rise in the order of merges")
+            before = whole
+            self.left[whole], self.right[whole] = model["vocab"][left], model["vocab"][right]
+            self.merged[self.left[whole] << PAIR | self.right[whole]] = whole
         self._added = re.compile(
             "(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")"
         )
