@@ -151,6 +151,8 @@ def test_digest_threshold_is_numeric(spark):
         assert df.filter(below != (number < math.floor(fraction * 2**32))).count() == 0
 
 
-def test_digest_of_null_key_decides(spark):
+def test_digest_of_null_key_fails(spark):
+    """Rows that share a missing key would be kept or lost together."""
     df = spark.createDataFrame([(None,)], "k string")
-    assert df.select(digest_below(key_digest(F.col("k"), 1), 0.5).alias("b")).first().b is not None
+    with pytest.raises(Exception, match="no key"):
+        df.select(digest_below(key_digest(F.col("k"), 1), 0.5).alias("b")).first()

@@ -78,3 +78,9 @@ def test_row_numbers_of_many(spark):
     df = spark.range(0, 30_000, 3).repartition(8)
     wrong = number_rows(df, "id").filter(F.col("row_number") != F.col("id") / 3 + 1)
     assert wrong.count() == 0
+
+
+def test_rows_without_a_key_are_numbered_last(spark):
+    df = spark.createDataFrame([(5,), (None,), (2,), (None,)], "k bigint")
+    got = sorted((r.row_number, r.k) for r in number_rows(df, "k").collect())
+    assert got == [(1, 2), (2, 5), (3, None), (4, None)]

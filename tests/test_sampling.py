@@ -100,3 +100,9 @@ def test_stratified_fractions(rows):
 def test_copies_are_drawn_independently_without_a_key(spark):
     copies = spark.range(N).select(F.lit("same").alias("x"), F.lit("BENIGN").alias("Label"))
     assert within(stratified_sample(copies).count(), N, 0.1)
+
+
+def test_null_keys_are_refused(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "a")], "id long, Label string")
+    with pytest.raises(Exception, match="no key"):
+        hash_sample(df, 0.5, "id").collect()

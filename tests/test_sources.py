@@ -180,3 +180,19 @@ def test_training_set_without_key(spark):
     schema = string_schema(["p", LABEL])
     df = spark.createDataFrame([("1", "Bot"), ("x", "Heartbleed")], schema)
     assert training_set(df).collect() == [(1.0, "BotNet")]
+
+
+def test_keyed_set_does_not_follow_the_scan(spark, tmp_path):
+    lines = [f"{i},{flow_line(i, 'BENIGN')}" for i in range(3000)]
+    path = write(tmp_path / "keyed.csv", ",".join(["Flow ID", *FEATURES, LABEL]), *lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    drawn = []
+    try:
+        for size in ("128m", "64k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            output = str(tmp_path / f"set-{size}")
+            build_training_set(spark, path, output, features=FEATURES, key="Flow ID")
+            drawn.append({r[0] for r in read_training_set(spark, output).select("Flow ID").collect()})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert drawn[0] == drawn[1] and 200 < len(drawn[0]) < 400

@@ -14,7 +14,7 @@ from flowspark.sources.messages import read_folder, stream_folder
 from flowspark.streaming import health
 from flowspark.streaming.detection import batch_summary, dashboard_writer, detect
 from flowspark.streaming.parsing import clean_flows, parse_messages
-from flowspark.streaming.running import finish, wait_for_any, write_parquet, write_table
+from flowspark.streaming.running import finish, run_for, wait_for_any, write_parquet, write_table
 from flowspark.streaming.windows import attacks_per_window_stream
 
 START = datetime.datetime(2024, 1, 1)
@@ -196,3 +196,12 @@ def test_parse_keeps_unknown_fields_out(spark):
         to_message(["a", "b"]).alias("value"), F.current_timestamp().alias("timestamp")
     )
     assert parse_messages(df, ["a", "c"]).drop("kafka_timestamp").collect() == [("1", None)]
+
+
+def test_run_for_stops_without_an_error(spark, topic, tmp_path):
+    stream = health.observed(stream_folder(spark, topic, max_files_per_trigger=1))
+    writer = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c"))
+    query = writer.trigger(processingTime="100 milliseconds").start()
+    assert run_for(query, 5) is False and not query.isActive
+    counts = health.total_counts(query)
+    assert counts["messages"] >= counts["valid"]
