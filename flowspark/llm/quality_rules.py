@@ -42,7 +42,7 @@ RULES = (
     Rule("mean_word_chars", "word_chars / n_words", 2.0, 15.0),
     Rule("symbols_per_word", "n_symbols / n_words", most=0.2),
     Rule("stop_word_share", "n_stop_words / n_words", least=0.02),
-    Rule("duplicate_line_share", "n_dup_lines / n_lines", most=0.3),
+    Rule("duplicate_line_share", "n_dup_lines / n_lines", most=0.5),
     Rule("short_line_words", "n_words / n_lines", least=2.0),
 )
 
