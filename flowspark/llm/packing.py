@@ -92,6 +92,9 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+#: Pieces of a group, which bounds its partial partitions where pieces are tiny.
+GROUP_PIECES = 8192
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, slot long"
 
 
@@ -184,8 +187,8 @@ def packing(
     ship(docs.sparkSession)
     cut = saved(pieces(docs, capacity, grain, end_id, path or default_path()), "pieces")
     short = F.col("length") < capacity
-    tokens = cut.where(short).agg(F.sum("length")).first()[0] or 0
-    groups = max(1, round(tokens / (windows * capacity)))
+    count, tokens = cut.where(short).agg(F.count(F.lit(1)), F.sum("length")).first()
+    groups = max(1, round((tokens or 0) / (windows * capacity)), -(-count // GROUP_PIECES))
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("slot", ignore_index=True)

@@ -210,3 +210,13 @@ def test_empty_tables(docs, labels):
         simhash_op.simhash_near_dedup(none), simhash_op.one_of_each(none),
     ):
         assert result.count() == 0
+
+
+def test_packing_of_many_tiny_texts(spark):
+    many = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
+    rows = packing.packing(many).collect()
+    fills = {}
+    for r in rows:
+        fills[r.sequence_id] = fills.get(r.sequence_id, 0) + r.length
+    assert len(rows) == 30_000 and max(fills.values()) <= 2048
+    assert len(fills) <= -(-60_000 // 2048) + 8
