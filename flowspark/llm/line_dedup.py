@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import SPACES, let, lower_ascii
+from flowspark.llm.common import SPACES, let, lower_ascii, saved
 
 NO_ID = (1 << 63) - 1
 
@@ -65,8 +65,11 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, min_documents: int = 2)
             .agg(F.min("_doc").alias("_first"), F.count(F.lit(1)).alias("_documents"))
         )
         shared = counts.where(F.col("_documents") >= min_documents)
+    # Written first, so that both sides of the join come straight from a shuffle and Spark
+    # can split the rows of a line that very many documents share.
+    shared = saved(shared.select("_h1", "_h2", "_first"), "shared-lines")
     return (
-        hashed.join(shared.select("_h1", "_h2", "_first"), ["_h1", "_h2"])
+        hashed.join(shared, ["_h1", "_h2"])
         .where("_doc > _first")
         .groupBy("_doc", "_text")
         .agg(F.collect_set("_position").alias("_dropped"))
