@@ -2,16 +2,17 @@
 
 A word's index vector is sparse and random, drawn from a hash of the word; its context
 vector is the sum of the index vectors of its neighbours. Vectors are learned from a
-bounded sample of labelled documents (``sample_rows``, the first by hash of their ids) and
-kept for the ``vocabulary`` most frequent words, so the model has a fixed size and is
-broadcast. A document is pooled to the mean vector of its words, the mean of its distinct
+bounded sample of labelled documents (about ``sample_rows``, drawn by hash of their ids) and
+kept for the most frequent words, ``vocabulary`` at most, so the model has a fixed size and
+is broadcast. A document is pooled to the mean vector of its words, the mean of its distinct
 words and four measures of its vocabulary. A network with one hidden layer is trained in
 numpy; the temperature that fits a held-back tenth best calibrates its probabilities.
 
 Only texts enter a score: no label, language, source or id does.
 
 Cases: a NULL or empty text pools to zeros and gets the network's score for them. Labels
-without a quality or a document are not used; of repeated labels all count. Without a row
+without a quality or a document are not used; a document with several labels counts once,
+with the lowest, and of several texts of one id the least is learned from. Without a row
 to learn from every score is 0.5. Repeated rows get equal scores; further columns do not
 matter.
 """
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import ship
+from flowspark.llm.common import saved, ship
 
 TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+|[^\s0-9a-z\x80-\xff]")
 DIMENSIONS = 64
@@ -38,6 +39,10 @@ NONZERO = 4
 CONTEXT = 2
 #: Tokens pooled at once; of longer texts the parts are added up.
 BLOCK = 1 << 20
+#: Words whose vectors a task sums up before it passes them on, and tokens at once.
+SUMMED_WORDS = 50_000
+CONTEXT_BLOCK = 1 << 13
+HASHES = 1 << 32
 
 
 def tokens_of(text: str) -> list[bytes]:
@@ -149,65 +154,80 @@ def learn_vectors(texts: DataFrame, vocabulary: int) -> tuple[dict[bytes, int],
     """Context vectors of the most frequent words of ``text``, of unit length."""
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = SUMMED_WORDS + CONTEXT_BLOCK + 2 * CONTEXT
+        place: dict[bytes, int] = {}
+        index = np.zeros((rows, DIMENSIONS), np.float32)
+        sums, counts = np.zeros_like(index), np.zeros(rows, np.int64)
+
+        def place_of(token: bytes) -> int:
+            known = place.get(token)
+            if known is None:
+                known = place[token] = len(place)
+                index[known] = index_vector(token)
+            return known
+
+        def summed() -> pa.RecordBatch:
+            n = len(place)
+            vectors = pa.ListArray.from_arrays(
+                pa.array(np.arange(0, n * DIMENSIONS + 1, DIMENSIONS), pa.int32()),
+                pa.array(sums[:n].ravel().copy()),  # Arrow keeps the buffer it is given
+            )
+            words = [pa.array(list(place), pa.binary()), pa.array(counts[:n].copy()), vectors]
+            place.clear()
+            sums[:], counts[:] = 0, 0
+            return pa.RecordBatch.from_arrays(words, ["word", "n", "vector"])
+
         for batch in batches:
-            place: dict[bytes, int] = {}
-            index: list[np.ndarray] = []
-            sums = np.zeros((0, DIMENSIONS), np.float32)
-            counts = np.zeros(0, np.int64)
             for text in batch.column(0).to_pylist():
                 tokens = tokens_of(text)
-                ids = np.empty(len(tokens), np.int64)
-                for i, token in enumerate(tokens):
-                    known = place.get(token)
-                    if known is None:
-                        known = place[token] = len(index)
-                        index.append(index_vector(token))
-                    ids[i] = known
-                if len(index) > len(sums):
-                    more = 2 * len(index) - len(sums)
-                    sums = np.r_[sums, np.zeros((more, DIMENSIONS), np.float32)]
-                    counts = np.r_[counts, np.zeros(more, np.int64)]
-                if len(ids):
-                    for start in range(0, len(ids), BLOCK // DIMENSIONS):
-                        own = ids[start : start + BLOCK // DIMENSIONS]
-                        low = max(0, start - CONTEXT)
-                        around = ids[low : start + len(own) + CONTEXT]
-                        vectors = np.array([index[i] for i in around.tolist()])
-                        padded = np.zeros((len(own) + 2 * CONTEXT, DIMENSIONS), np.float32)
-                        lead = CONTEXT - (start - low)
-                        padded[lead : lead + len(vectors)] = vectors
-                        total = sum(
-                            padded[s : s + len(own)] for s in range(2 * CONTEXT + 1) if s != CONTEXT
-                        )
-                        np.add.at(sums, own, total)
-                    counts += np.bincount(ids, minlength=len(counts))
-            n = len(index)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(place), pa.binary()),
-                    pa.array(counts[:n], pa.int64()),
-                    pa.array(sums[:n].astype(np.float64).tolist(), pa.list_(pa.float64())),
-                ],
-                ["word", "n", "vector"],
-            )
-
-    parts = texts.mapInArrow(contexts, "word binary, n long, vector array<double>")
-    sums = [F.sum(F.get("vector", F.lit(i))).alias(f"v{i}") for i in range(DIMENSIONS)]
-    rows = (
+                for start in range(0, len(tokens), CONTEXT_BLOCK):
+                    low = max(0, start - CONTEXT)
+                    stop = min(len(tokens), start + CONTEXT_BLOCK)
+                    around = np.array([place_of(t) for t in tokens[low : stop + CONTEXT]])
+                    own = around[start - low : stop - low]
+                    padded = np.zeros((len(own) + 2 * CONTEXT, DIMENSIONS), np.float32)
+                    lead = CONTEXT - (start - low)
+                    padded[lead : lead + len(around)] = index[around]
+                    total = sum(
+                        padded[s : s + len(own)] for s in range(2 * CONTEXT + 1) if s != CONTEXT
+                    )
+                    np.add.at(sums, own, total)
+                    counts[:] += np.bincount(own, minlength=rows)
+                    if len(place) >= SUMMED_WORDS:
+                        yield summed()
+        if place:
+            yield summed()
+
+    parts = texts.mapInArrow(contexts, "word binary, n long, vector array<float>")
+    sums = [F.sum(F.get("vector", F.lit(i))).cast("float") for i in range(DIMENSIONS)]
+    words = saved(
         parts.groupBy("word")
-        .agg(F.sum("n").alias("n"), *sums)
-        .where("n > 1")
-        .orderBy(F.desc("n"), "word")
-        .limit(vocabulary)
-        .collect()
+        .agg(F.sum("n").alias("n"), F.array(*sums).alias("vector"))
+        .where("n > 1"),
+        "words",
     )
-    vectors = np.array([[r[f"v{i}"] for i in range(DIMENSIONS)] for r in rows], np.float32)
-    vectors = vectors.reshape(-1, DIMENSIONS)
+    # Not a top-n: each task would send that many vectors. Few counts are asked for first.
+    least, room = 1 << 62, vocabulary
+    for n, rows in words.groupBy("n").count().orderBy(F.desc("n")).collect():
+        if rows > room:
+            break
+        least, room = n, room - rows
+    table = words.where(F.col("n") >= least).select("word", "vector").toArrow().sort_by("word")
+    known = table.column("word").to_pylist()
+    vectors = _matrix(table.column("vector"), len(known)).astype(np.float32)
     if len(vectors):
         # What all words share (the commonest neighbours) says little about any of them.
         vectors -= vectors.mean(axis=0)
         vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)
-    return {bytes(r["word"]): i for i, r in enumerate(rows)}, vectors
+    return {bytes(word): i for i, word in enumerate(known)}, vectors
+
+
+def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
+    """A column of lists of one length as a matrix."""
+    if not rows:
+        return np.zeros((0, DIMENSIONS))
+    flat = pa.concat_arrays([chunk.flatten() for chunk in column.chunks])
+    return flat.to_numpy().reshape(rows, -1)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -220,17 +240,26 @@ def fit(
     """A model of ``quality`` from the labelled rows that are not held out; None without any."""
     spark = docs.sparkSession
     ship(spark)
-    sample = (
+    labelled = (
         labels.where("doc_id is not null and quality is not null")
         .where(~held_out(F.col("doc_id")))
-        .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "quality")
-        .limit(sample_rows)
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        .agg(F.min("quality").cast("int").alias("quality"))
+    )
+    share = min(1.0, sample_rows / max(1, labelled.count()))
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)) < int(share * HASHES)
+    # About sample_rows pairs of numbers.
+    sample = F.broadcast(labelled.where(drawn))
+    texts = saved(
+        docs.select(
+            docs["doc_id"].cast("long").alias("doc_id"),
+            F.coalesce(docs["text"], F.lit("")).alias("text"),
+        )
+        .join(sample, "doc_id")
+        .groupBy("doc_id", "quality")
+        .agg(F.min("text").alias("text")),
+        "sample",
     )
-    # At most sample_rows pairs of numbers.
-    texts = docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text")
-    ).join(F.broadcast(sample), "doc_id")
     words, vectors = learn_vectors(texts.select("text"), vocabulary)
     shared = spark.sparkContext.broadcast((words, vectors))
 
@@ -247,12 +276,12 @@ def fit(
         texts.select("doc_id", "quality", "text")
         .mapInArrow(pooled, "doc_id long, quality int, features array<double>")
         .toArrow()
-        .sort_by([("doc_id", "ascending"), ("quality", "ascending")])
+        .sort_by("doc_id")
     )
     shared.unpersist()
     if not rows.num_rows:
         return None
-    features = np.array(rows.column("features").to_pylist())
+    features = _matrix(rows.column("features"), rows.num_rows)
     quality = rows.column("quality").to_numpy().astype(np.float64)
     aside = np.array(
         [xxhash.xxh64_intdigest(str(i), 1) % 10 == 0 for i in rows.column("doc_id").to_pylist()]

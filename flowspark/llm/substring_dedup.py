@@ -244,16 +244,20 @@ class WaveletMatrix:
             self.ones.append(np.r_[0, np.cumsum(counts)])
             self.zeros.append(int(len(bit) - bit.sum()))
             values = np.r_[values[bit == 0], values[bit == 1]]
+        every = np.arange(symbols)
+        #: Where the bottom level has each symbol's first place.
+        self.first = self._bottom(every, np.zeros_like(every))
 
-    def rank(self, symbol: np.ndarray, place: np.ndarray, start: np.ndarray | None = None):
+    def rank(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Occurrences of each symbol before each place."""
-        low = np.zeros_like(place)
+        return self._bottom(symbol, place) - self.first[symbol]
+
+    def _bottom(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
         for i, level in enumerate(reversed(range(self.depth))):
-            one = ((symbol >> level) & 1).astype(bool)
-            ones_place, ones_low = self._ones(i, place), self._ones(i, low)
-            place = np.where(one, self.zeros[i] + ones_place, place - ones_place)
-            low = np.where(one, self.zeros[i] + ones_low, low - ones_low)
-        return place - low
+            ones = self._ones(i, place)
+            one = (symbol >> level) & 1 == 1
+            place = np.where(one, self.zeros[i] + ones, place - ones)
+        return place
 
     def _ones(self, i: int, place: np.ndarray) -> np.ndarray:
         word, bit = place >> 6, (place & 63).astype(np.uint64)
@@ -262,7 +266,12 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    """Backward search over a sequence of symbols, right for patterns up to ``order``."""
+    """Backward search over a sequence of symbols whose suffixes are sorted by ``order``.
+
+    Counts are right for patterns up to the order. Beyond it, an interval holds places
+    where the first ``order`` symbols of the pattern stand, so an extension that finds two
+    of them still proves the windows at its left end.
+    """
 
     def __init__(self, sequence: np.ndarray, symbols: int, order: int) -> None:
         n = len(sequence)
@@ -342,7 +351,7 @@ def _shard(rows: list[tuple[int, int, int, bytes]], window: int) -> pa.RecordBat
     twice = np.flatnonzero(np.array([copies > 1 for _, _, copies, _ in rows]))
     again = [streamed[start[i] : start[i] + size[i] + 1] for i in twice]
     sequence = np.concatenate([streamed, *again])
-    index = FMIndex(sequence, len(number) + 1, 2 * window)
+    index = FMIndex(sequence, len(number) + 1, window)
     pieces = [
         (i, p)
         for i in range(len(rows))
