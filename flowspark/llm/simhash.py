@@ -39,15 +39,19 @@ SHINGLE_BLOCK = 65_536
 SEARCH_BLOCK = 2_000_000
 
 
+def shingles_of(text: str, width: int) -> list[bytes]:
+    """All runs of ``width`` words; a shorter text is one, a text without words has none."""
+    words = text.encode().lower().split()  # bytes: A-Z and the six ASCII spaces only
+    if len(words) < width:
+        return [b" ".join(words)] if words else []
+    return list(map(b" ".join, zip(*(words[i:] for i in range(width)))))
+
+
 def fingerprint_of(text: str, width: int = 3) -> int:
     """Signed 64 bits; each is set if more than half of the shingles' hashes have it."""
-    words = text.encode().lower().split()  # bytes: A-Z and the six ASCII spaces only
-    if not words:
+    shingles = shingles_of(text, width)
+    if not shingles:
         return 0
-    if len(words) < width:
-        shingles = [b" ".join(words)]
-    else:
-        shingles = list(map(b" ".join, zip(*(words[i:] for i in range(width)))))
     digest = xxhash.xxh64_intdigest
     ones = np.zeros(BITS, np.int64)
     for start in range(0, len(shingles), SHINGLE_BLOCK):
@@ -120,7 +124,7 @@ class BKForest:
                 waiting.append((np.repeat(item, count), self.child[place]))
 
 
-class _Parts:
+class Parts:
     """Union by smallest index over arrays of pairs."""
 
     def __init__(self, n: int) -> None:
@@ -146,7 +150,7 @@ class _Parts:
 
 def _stars(value: np.ndarray, group: np.ndarray, asks: np.ndarray, radius: int):
     """(fingerprint, smaller linked fingerprint) that join all links of the queries."""
-    forest, parts = BKForest(value.view(np.uint64), group), _Parts(len(value))
+    forest, parts = BKForest(value.view(np.uint64), group), Parts(len(value))
     for a, b in forest.links(np.flatnonzero(asks), radius):
         parts.join(a, b)
     top = parts.find(np.arange(len(value)))
@@ -318,15 +322,17 @@ def with_components(
     return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
-def one_of_each(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
-    """The row of the smallest doc_id of each component, the columns of ``docs``."""
+def first_of_each(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """The row of the smallest doc_id of each root, the columns of ``docs``.
+
+    ``grouped`` has doc_id, text_hash and root of every row.
+    """
 
     def key(doc: Column, text_hash: Column) -> list[Column]:
         return [F.coalesce(doc, F.lit(NO_ID)).alias("_doc"), text_hash.alias("_text")]
 
     kept = (
-        with_components(docs, width, radius)
-        .groupBy("root")
+        grouped.groupBy("root")
         .agg(F.min(F.struct(*key(F.col("doc_id"), F.col("text_hash")))).alias("kept"))
         .select("kept.*")
     )
@@ -344,6 +350,11 @@ def one_of_each(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
+    """The row of the smallest doc_id of each component, the columns of ``docs``."""
+    return first_of_each(docs, with_components(docs, width, radius))
+
+
 def simhash_near_dedup(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row."""
     return with_components(docs, width, radius).select(
