@@ -9,13 +9,14 @@ from flowspark.schema import PROBE_FEATURES
 from flowspark.scratch import new_folder
 from flowspark.session import build_session
 from flowspark.streaming.health import (
+    all_counts,
     message_format,
+    missing_batches,
     observed,
     probe_flows,
-    progress_rows,
-    total_counts,
+    run_and_keep_rows,
 )
-from flowspark.streaming.running import run_for, with_trigger
+from flowspark.streaming.running import with_trigger
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -25,6 +26,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--preview", type=int, default=5, help="messages to print")
     args = parser.parse_args(argv)
     spark = build_session("probe")
+
+    def state(ended: bool) -> str:
+        return "all read" if ended else f"stopped after {args.seconds} s"
+
+    counts, ended = all_counts(
+        open_topic(spark, args), new_folder(spark, "probe-health"), args.seconds
+    )
+    print("health", counts, state(ended))
     checks = {
         "format": message_format,
         "flows": lambda messages: probe_flows(messages, PROBE_FEATURES),
@@ -36,11 +45,13 @@ def main(argv: list[str] | None = None) -> None:
             "checkpointLocation", new_folder(spark, f"probe-{name}")
         )
         query = with_trigger(writer, None).start()
-        ended = run_for(query, args.seconds)
-        for row in progress_rows(query):
+        rows, ended = run_and_keep_rows(query, args.seconds)
+        for _, row in sorted(rows.items()):
             print(name, row)
-        state = "all read" if ended else f"stopped after {args.seconds} s"
-        print(name, total_counts(query), state)
+        totals = {c: sum(r.get(c, 0) for r in rows.values()) for c in ("messages", "valid")}
+        missing = missing_batches(rows)
+        gap = f", without {missing} batches whose reports were gone" if missing else ""
+        print(name, totals, state(ended) + gap)
         check(read_topic(spark, args).limit(args.preview)).show(args.preview, truncate=False)
 
 

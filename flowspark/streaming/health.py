@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowspark.functions.messages import is_json_object
 from flowspark.streaming.parsing import clean_flows, decode_messages
+from flowspark.streaming.running import run_for, write_table
 
 
 def message_format(messages: DataFrame, passthrough: Sequence[str] = ()) -> DataFrame:
@@ -67,6 +69,47 @@ def total_counts(query: StreamingQuery, name: str = "health") -> dict[str, int]:
     return totals
 
 
+def all_counts(
+    messages: DataFrame, checkpoint: str, seconds: float, name: str = "message_health"
+) -> tuple[dict[str, int], bool]:
+    """:func:`message_health` of a stream's present data, and whether all of it was read
+    within ``seconds``. The counts are the query's state, so every batch is in them,
+    however few progress reports are kept."""
+    query = write_table(message_health(messages), name, checkpoint, state_partitions=1)
+    ended = run_for(query, seconds)
+    row = messages.sparkSession.table(name).first()
+    return (row.asDict() if row else {"messages": 0, "valid": 0, "invalid": 0}), ended
+
+
+def run_and_keep_rows(
+    query: StreamingQuery, seconds: float, name: str = "health", every: float = 0.2
+) -> tuple[dict[int, dict], bool]:
+    """:func:`run_for`, with the :func:`progress_rows` of all batches by batch id. They are
+    gathered while the query runs, as it holds the newest reports only."""
+    rows: dict[int, dict] = {}
+
+    def gather() -> None:
+        for row in progress_rows(query, name):
+            known = rows.get(row["batch_id"])
+            if known is None or row["input_rows"] >= known["input_rows"]:
+                rows[row["batch_id"]] = row
+
+    until, ended = time.monotonic() + seconds, False
+    try:
+        while not ended and (left := until - time.monotonic()) > 0:
+            ended = bool(query.awaitTermination(min(every, left)))
+            gather()
+    finally:
+        query.stop()
+    gather()
+    return rows, ended
+
+
+def missing_batches(rows: dict[int, dict]) -> int:
+    """Batches before the last one, counted from 0, of which no report was seen."""
+    return max(rows) + 1 - len(rows) if rows else 0
+
+
 def probe_flows(messages: DataFrame, features: Sequence[str]) -> DataFrame:
     """End-to-end parse of a few features, as the health check runs it."""
     return clean_flows(messages, features)

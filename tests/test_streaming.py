@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from flowspark.catalog.inputs import time_slices
 from flowspark.fixtures import rule_scorer
 from flowspark.functions.messages import to_message
+from flowspark.jobs import probe
 from flowspark.operators.profile import attack_summary, attacks_per_window
 from flowspark.schema import PREDICTED, PROBE_FEATURES
 from flowspark.sinks.messages import replay_messages, send
@@ -205,3 +206,33 @@ def test_run_for_stops_without_an_error(spark, topic, tmp_path):
     assert run_for(query, 5) is False and not query.isActive
     counts = health.total_counts(query)
     assert counts["messages"] >= counts["valid"]
+
+
+def test_probe_counts_more_batches_than_reports_are_held(spark, tmp_path, capsys):
+    """Twelve batches, the damaged message in the first one, and two reports held."""
+    source, held = str(tmp_path / "t"), "spark.sql.streaming.numRecentProgressUpdates"
+    for number in range(12):
+        text = "{bad" if number == 0 else "{}"
+        rows = spark.range(1).select(
+            F.lit(b"").alias("key"),
+            F.lit(text).cast("binary").alias("value"),
+            F.current_timestamp().alias("timestamp"),
+        )
+        send(rows.coalesce(1), source)
+    before = spark.conf.get(held)
+    spark.conf.set(held, "2")
+    try:
+        probe.main(["--folder", source, "--max-per-trigger", "1"])
+    finally:
+        spark.conf.set(held, before)
+    printed = capsys.readouterr().out
+    assert "health {'messages': 12, 'valid': 11, 'invalid': 1} all read" in printed
+    for name in ("format", "flows"):
+        whole = f"{name} {{'messages': 12, 'valid': 11}} all read\n" in printed
+        assert whole or f"{name} {{" in printed and "batches whose reports were gone" in printed
+
+
+def test_missing_reports_are_told():
+    assert health.missing_batches({}) == 0
+    assert health.missing_batches({0: {}, 1: {}}) == 0
+    assert health.missing_batches({3: {}, 4: {}}) == 3
