@@ -6,8 +6,10 @@ therefore routed to one shard for each choice of so many blocks, keyed by their
 every link meets in some shard. A shard holds a BK-tree: children are keyed by their
 Hamming distance to the parent, and a search follows only the edges within the radius. The
 trees live in the tasks that own the shards; broadcasting them would move a structure that
-grows with the corpus to every executor. A shard above ``hot_shard`` fingerprints is
-searched by several tasks, each with the whole tree and a part of the queries.
+grows with the corpus to every executor. A shard above ``hot_shard`` fingerprints is divided
+again by blocks of the bits in another order: its links agree in as many of those, so each
+fingerprint goes to as many smaller shards, and no tree is copied. With five blocks and three
+bits, ``LEVELS`` orders leave at most 13 bits that can differ, or 8192 fingerprints.
 
 Shards give stars (each fingerprint and the smallest one of its part), never pairs; stars
 join to components by alternating large-star and small-star steps on written tables.
@@ -22,6 +24,7 @@ do not matter.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -37,6 +40,8 @@ SEED = 42
 #: Shingles whose bits are counted at once, and pairs of a search held at once.
 SHINGLE_BLOCK = 65_536
 SEARCH_BLOCK = 2_000_000
+#: Orders of the bits by which shards are divided, the first one as they are.
+LEVELS = 5
 
 
 def shingles_of(text: str, width: int) -> list[bytes]:
@@ -158,50 +163,66 @@ def _stars(value: np.ndarray, group: np.ndarray, asks: np.ndarray, radius: int):
     return value[moved], value[top[moved]]
 
 
-def _shard_keys(fp: Column, blocks: int, radius: int) -> Column:
-    """One key for each choice of ``blocks - radius`` blocks: the choice and their bits."""
+def _masks(blocks: int, radius: int, level: int) -> list[int]:
+    """The bits of each choice of ``blocks - radius`` blocks, signed."""
+    bits = np.arange(BITS) if level == 0 else np.random.default_rng(level).permutation(BITS)
     size = -(-BITS // blocks)
-    keys = []
-    for number, chosen in enumerate(combinations(range(blocks), blocks - radius)):
+    masks = []
+    for chosen in combinations(range(blocks), blocks - radius):
         mask = 0
         for block in chosen:
-            mask |= ((1 << size) - 1) << (block * size)
-        mask &= (1 << BITS) - 1
-        signed = mask - (1 << BITS) if mask >> (BITS - 1) else mask
-        keys.append(
-            F.struct(F.lit(number).alias("choice"), fp.bitwiseAND(F.lit(signed)).alias("bits"))
-        )
+            for bit in bits[block * size : (block + 1) * size].tolist():
+                mask |= 1 << bit
+        masks.append(mask - (1 << BITS) if mask >> (BITS - 1) else mask)
+    return masks
+
+
+def _shard_keys(fp: Column, blocks: int, radius: int, level: int = 0) -> Column:
+    """One key for each choice of ``blocks - radius`` blocks: the choice and their bits."""
+    keys = [
+        F.struct(F.lit(number).alias("choice"), fp.bitwiseAND(F.lit(mask)).alias("bits"))
+        for number, mask in enumerate(_masks(blocks, radius, level))
+    ]
     return F.array(*keys)
 
 
+def _dealt(fingerprints: DataFrame, radius: int, blocks: int, hot_shard: int) -> DataFrame:
+    """(tree, fp): the shards of two and more; every link meets in one of them."""
+
+    def keyed(rows: DataFrame, level: int, *within: str) -> DataFrame:
+        keys = _shard_keys(F.col("fp"), blocks, radius, level)
+        return rows.select("fp", *within, F.explode(keys).alias("key")).select(
+            "fp", F.xxhash64(*within, "key.choice", "key.bits").alias("tree")
+        )
+
+    rows, out = keyed(fingerprints, 0), []
+    for level in range(1, LEVELS + 1):
+        # Written, so that the join has an exchange for each side and hot shards are split.
+        counts = saved(
+            rows.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shards"
+        )
+        if level == LEVELS or counts.where(F.col("n") > hot_shard).isEmpty():
+            out.append(rows.join(counts.select("tree"), "tree").select("tree", "fp"))
+            break
+        sized = rows.join(counts, "tree")
+        out.append(sized.where(F.col("n") <= hot_shard).select("tree", "fp"))
+        hot = sized.where(F.col("n") > hot_shard).select("tree", "fp")
+        rows = saved(keyed(hot, level, "tree"), "hot-shards")
+    return reduce(DataFrame.union, out)
+
+
 def links(
     fingerprints: DataFrame, radius: int = 3, blocks: int = 5, hot_shard: int = 8192
 ) -> DataFrame:
     """(a, b): stars, b < a, that connect distinct fingerprints ``fp`` as all links would."""
-    keyed = fingerprints.select(
-        "fp", F.explode(_shard_keys(F.col("fp"), blocks, radius)).alias("shard")
-    ).select("fp", F.xxhash64("shard.choice", "shard.bits").alias("shard"))
-    counts = keyed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    parts = F.ceil(F.col("n") / hot_shard).cast("int")
-    dealt = (
-        keyed.join(counts, "shard")
-        .withColumn("parts", parts)
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select(
-            F.when(F.col("parts") == 1, F.col("shard"))
-            .otherwise(F.xxhash64("shard", "part"))
-            .alias("tree"),
-            "fp",
-            (F.pmod(F.xxhash64("fp"), F.col("parts")) == F.col("part")).alias("asks"),
-        )
-    )
+    dealt = _dealt(fingerprints, radius, blocks, hot_shard)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
         def found(rows: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-            tree, value, asks = rows
-            a, b = _stars(value, tree, asks, radius)
+            tree, value = rows
+            a, b = _stars(value, tree, np.ones(len(value), bool), radius)
             return pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
             )
