@@ -33,6 +33,12 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder and what is in it; nothing happens if there is none."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def saved(df: DataFrame, purpose: str) -> DataFrame:
     """The rows written below the shared folder and read again.
 
