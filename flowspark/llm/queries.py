@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowspark.llm import (
     chat_format,
+    fill_in_middle,
     fingerprints,
     line_dedup,
     mixing,
@@ -17,6 +18,8 @@ from flowspark.llm import (
     simhash,
     substring_dedup,
     token_counts,
+    warc,
+    whitening,
 )
 from flowspark.llm.common import table
 
@@ -68,6 +71,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(
+        fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.embedding_whitening(table(spark, sf_dir, "embeddings"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -79,10 +96,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_whitening": op12_whitening,
+    "op13_warc": op13_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE_SQL,
     "op3_mixing": mixing.ORACLE_SQL,
     "op7_line_dedup": line_dedup.ORACLE_SQL,
+    "op11_fill_in_middle": fill_in_middle.ORACLE_SQL,
+    "op13_warc": warc.ORACLE_SQL,
 }

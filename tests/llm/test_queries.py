@@ -32,7 +32,7 @@ def test_every_operator_is_registered():
     registered = entry_points.queries()
     assert set(QUERIES) <= set(registered) and "pipeline" in registered
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ORACLE_SQL)
