@@ -16,8 +16,8 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -26,74 +26,117 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from flowspark.llm.common import saved, ship
-from flowspark.llm.vocabulary import PRE_TOKEN, Vocabulary, chunks, default_path, load
+from flowspark.llm.vocabulary import PRE_TOKEN, cut_texts, default_path, is_simple, load
 
-#: Remembered chunks of one worker; it starts anew beyond it.
-REMEMBERED = 400_000
+#: Code points from which a chunk, and a run of white space, is left to the other library.
+LONG = 50_000
+#: Tokens whose ids are laid out at once, but for a text with more.
+BLOCK_TOKENS = 1 << 20
 
 
 class Encoder:
-    """Ids of texts, four little-endian bytes each, as the tokenizers library gives them.
+    """Ids of texts as the tokenizers library gives them.
 
-    Chunks are encoded by tiktoken from the same vocabulary, which takes a fraction of the
-    time on short strings, and remembered.
+    Distinct chunks are encoded by tiktoken from the same vocabulary, which takes a fraction of
+    the time on short strings, those without further white space all together. Its pattern
+    engine overflows on very long runs of white space, so pre-tokens of ``LONG`` code points
+    and more are given to the tokenizers library, one by one.
     """
 
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        self.vocabulary = vocabulary
-        self._ids = tiktoken.Encoding(
+    def __init__(self, path: str) -> None:
+        self.path = path
+        self.vocabulary = load(path)
+        self._quick = tiktoken.Encoding(
             "packing",
             pat_str=PRE_TOKEN.pattern,
-            mergeable_ranks=vocabulary.id_of,
+            mergeable_ranks=self.vocabulary.id_of,
             special_tokens={},
-        ).encode_ordinary
-        self._bare: dict[str, bytes] = {}
-        self._spaced: dict[str, bytes] = {}
-
-    def _known(self, memory: dict[str, bytes], found: list[str], lead: str) -> list[bytes]:
-        known = list(map(memory.get, found))
-        if None in known:
-            for i, ids in enumerate(known):
-                if ids is None:
-                    chunk = found[i]
-                    ids = memory.get(chunk)
-                    if ids is None:
-                        ids = np.array(self._ids(lead + chunk), "<u4").tobytes()
-                        memory[chunk] = ids
-                    known[i] = ids
-        return known
+        )
+        #: Whether a token begins with a space.
+        self._spaced = np.zeros(max(self.vocabulary.bytes_of) + 1, bool)
+        self._spaced[[i for i, b in self.vocabulary.bytes_of.items() if b[:1] == b" "]] = True
+
+    @cached_property
+    def _slow(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
+
+    def _alone(self, value: str) -> list[int]:
+        if len(value) < LONG:
+            return self._quick.encode_ordinary(value)
+        ids: list[int] = []
+        for piece in PRE_TOKEN.findall(value):
+            if len(piece) < LONG:
+                ids += self._quick.encode_ordinary(piece)
+            else:
+                ids += self._slow.encode(piece, add_special_tokens=False).ids
+        return ids
+
+    def of_values(self, values: list[str], added: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all values one after the other, tokens of each value)."""
+        simple = [len(v) < LONG and i not in added and is_simple(v) for i, v in enumerate(values)]
+        text = "".join([v for v, together in zip(values, simple) if together])
+        joined = self._quick.encode_to_numpy(text) if text else np.zeros(0, np.uint32)
+        marks = np.flatnonzero(self._spaced[joined])
+        counts = np.zeros(len(values), np.int64)
+        is_joined = np.array(simple, bool)
+        counts[is_joined] = np.diff(np.r_[marks, len(joined)])
+        alone = {
+            i: np.array([added[i]] if i in added else self._alone(values[i]), np.uint32)
+            for i in np.flatnonzero(~is_joined).tolist()
+        }
+        for i, ids in alone.items():
+            counts[i] = len(ids)
+        ends = np.cumsum(counts)
+        flat = np.empty(ends[-1] if len(ends) else 0, np.uint32)
+        flat[np.repeat(is_joined, counts)] = joined
+        for i, ids in alone.items():
+            flat[ends[i] - len(ids) : ends[i]] = ids
+        return flat, counts
+
+    def encode_all(self, texts: list[str], end_id: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        """(number of a text, its ids and ``end_id``), every text once, in any order."""
+        cut = cut_texts(texts, self.vocabulary)
+        flat, counts = self.of_values(cut.values, cut.added)
+        first = np.cumsum(counts) - counts
+        total = np.r_[0, np.cumsum(counts[cut.codes])][cut.offsets]  # tokens before each row
+        low, rows = 0, len(cut.order)
+        while low < rows:
+            high = max(low + 1, int(np.searchsorted(total, total[low] + BLOCK_TOKENS, "right")) - 1)
+            codes = cut.codes[cut.offsets[low] : cut.offsets[high]]
+            lengths = counts[codes]
+            start = np.cumsum(lengths) - lengths
+            ids = flat[np.repeat(first[codes] - start, lengths) + np.arange(lengths.sum())]
+            places = total[low : high + 1] - total[low]
+            if end_id is not None:
+                ids = np.insert(ids, places[1:], np.uint32(end_id))
+                places = places + np.arange(high - low + 1)
+            for row in range(high - low):
+                yield int(cut.order[low + row]), ids[places[row] : places[row + 1]]
+            low = high
 
     def encode(self, text: str) -> bytes:
-        if len(self._spaced) + len(self._bare) >= REMEMBERED:
-            self._spaced.clear()
-            self._bare.clear()
-        out: list[bytes] = []
-        for i, segment in enumerate(self.vocabulary.segments(text)):
-            if i % 2:
-                out.append(array("I", [self.vocabulary.added[segment]]).tobytes())
-            elif segment:
-                found, spaced = chunks(segment)
-                first = found[:1] if spaced else found
-                out += self._known(self._bare, [c for c in first if c], "")
-                if spaced:
-                    out += self._known(self._spaced, found[1:], " ")
-        return b"".join(out)
+        """The ids of one text, four little-endian bytes each."""
+        ((_, ids),) = self.encode_all([text])
+        return ids.astype("<u4").tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """The encoder of this worker, which keeps what earlier batches had it remember."""
+    """The encoder of this worker, made once."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(load(path))
+        _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
 
 #: Pieces of a group, which bounds its partial partitions where pieces are tiny.
 GROUP_PIECES = 8192
+#: Groups that a task packs where there are many more of them than cores.
+GROUPS_A_TASK = 16
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, slot long"
 
@@ -106,19 +149,19 @@ def pieces(docs: DataFrame, capacity: int, grain: int, end_id: int, path: str) -
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
-        end = np.array([end_id], "<u4").tobytes()
+        encode = encoder(path).encode_all
         slot = TaskContext.get().partitionId() << 36
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                ids = encode(text or "") + end
-                n = len(ids) // 4
+            doc_ids, texts = (c.to_pylist() for c in batch.columns)
+            for number, ids in encode([t or "" for t in texts], end_id):
+                n = len(ids)
                 full = n - n % capacity
                 places = [*range(0, full, capacity), *range(full, n, grain)]
+                data = np.ascontiguousarray(ids, "<u4")
                 for start, stop in zip(places, [*places[1:], n]):
-                    part = ids[4 * start : 4 * stop]
-                    rows.append((doc_id, start, len(part) // 4, zlib.crc32(part), n, slot))
+                    crc = zlib.crc32(data[start:stop])
+                    rows.append((doc_ids[number], start, stop - start, crc, n, slot))
                     slot += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 6)],
@@ -200,9 +243,13 @@ def packing(
         return group.drop(columns=["slot", "_group"])
 
     result = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+    # Groups are small to move and long to pack, so their tasks are not sized by bytes.
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    tasks = min(groups, max(4 * cores, groups // GROUPS_A_TASK))
     packed = (
         cut.where(short)
         .withColumn("_group", F.pmod(F.xxhash64("slot"), F.lit(groups)))
+        .repartition(tasks, "_group")
         .groupBy("_group")
         .applyInPandas(pack, f"{result}, sequence_id long, offset long")
     )
