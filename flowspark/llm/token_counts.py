@@ -3,8 +3,9 @@
 The encoding of a prefix ends with exactly one token that can follow the encoding of the
 rest, so the counts of all prefixes of a pre-token come from one pass: the last token at
 each place is the one that BPE leaves apart from the last token before it. No text is
-encoded twice: a document's counts are sums over its chunks, whose prefix counts are kept.
-From the stored counts, truncation and budget questions are look-ups.
+encoded twice: a batch's texts are numbers of distinct chunks, whose pre-tokens go through the
+dynamic program once, and a document's counts are sums over its chunks. From the stored
+counts, truncation and budget questions are look-ups.
 
 Cases: a NULL or empty text has no tokens. Added tokens inside a text count as one, as the
 library's default has it. Rows are counted alone, so repeated rows get equal counts, and
@@ -14,22 +15,30 @@ further columns do not matter.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark.llm.common import ship
-from flowspark.llm.vocabulary import PAIR, PRE_TOKEN, Vocabulary, chunks, default_path, load
+from flowspark.llm.vocabulary import (
+    PAIR,
+    PRE_TOKEN,
+    Vocabulary,
+    cut_texts,
+    default_path,
+    is_simple,
+    load,
+)
 
 WHITE = regex.compile(r"\s{2,}")
 
-#: Remembered chunks and token pairs of one worker; both start anew beyond it.
+#: Remembered pre-tokens and token pairs of one worker, and code points of the former; each
+#: starts anew beyond it, before the next batch or text.
 REMEMBERED = 400_000
-#: Texts whose new pre-tokens are found in one pass.
-LEARNED_TEXTS = 500
+REMEMBERED_CHARS = 8_000_000
 
 
 class PrefixCounter:
@@ -40,9 +49,8 @@ class PrefixCounter:
         self._merge, self._left, self._right = (
             vocabulary.merged.get, vocabulary.left, vocabulary.right
         )
-        self._spaced: dict[str, list[int]] = {}
-        self._bare: dict[str, list[int]] = {}
         self._pieces: dict[str, bytes | list[int]] = {}
+        self._chars = 0
         self._stable: dict[int, bool] = {}
 
     def stable(self, left: int, right: int) -> bool:
@@ -111,7 +119,14 @@ class PrefixCounter:
                     counts.append(count[place])
             if len(piece) == 3 and piece[0] == "'" and piece[1].isalpha():
                 counts[1] = 2  # a contraction cut short is an apostrophe and a letter
-            self._pieces[piece] = bytes(counts) if max(counts) < 256 else counts
+            self._pieces[piece] = bytes(counts) if counts[-1] < 256 else counts
+            self._chars += len(piece)
+
+    def forget(self) -> None:
+        """Starts anew if much is remembered."""
+        if len(self._pieces) >= REMEMBERED or self._chars >= REMEMBERED_CHARS:
+            self._pieces.clear()
+            self._chars = 0
 
     def _ends(self, piece: str) -> bytes | list[int]:
         """Tokens of every prefix of a pre-token, in code points, the empty one left out."""
@@ -121,66 +136,81 @@ class PrefixCounter:
             known = self._pieces[piece]
         return known
 
-    def learn(self, texts: list[str]) -> None:
-        """Remembers what these texts need, new pre-tokens in one sorted pass."""
-        if len(self._spaced) + len(self._bare) >= REMEMBERED:
-            self._spaced.clear()
-            self._bare.clear()
-            self._pieces.clear()
-        spaced: set[str] = set()
-        bare: set[str] = set()
-        for text in texts:
-            for segment in self.vocabulary.segments(text)[::2]:
-                found, cut_at_spaces = chunks(segment)
-                if cut_at_spaces:
-                    bare.add(found[0])
-                    spaced.update(found[1:])
-                else:
-                    bare.update(found)
-        bare.discard("")
-        found = [(self._bare, c, c) for c in bare - self._bare.keys()]
-        found += [(self._spaced, c, " " + c) for c in spaced - self._spaced.keys()]
-        split = [PRE_TOKEN.findall(chunk) for _, _, chunk in found]
-        self.solve(sorted(set(chain.from_iterable(split)) - self._pieces.keys()))
-        for (memory, key, _), pieces in zip(found, split):
-            memory[key] = self._joined(pieces)
-
-    def _joined(self, pieces: list[str]) -> bytes | list[int]:
-        """Tokens of every prefix of a chunk of these pre-tokens, the empty one left out."""
-        if len(pieces) == 1:
-            return self._ends(pieces[0])
+    def _of_values(self, values: list[str], added: dict[int, int]) -> np.ndarray:
+        """Tokens of each chunk, all new pre-tokens in one sorted pass."""
+        simple = [i not in added and is_simple(v) for i, v in enumerate(values)]
+        pieces = PRE_TOKEN.findall("".join([v for v, together in zip(values, simple) if together]))
+        place = np.cumsum([piece[0] == " " for piece in pieces]) - 1
+        owner = np.flatnonzero(simple)[place] if pieces else np.zeros(0, np.int64)
+        more: list[int] = []
+        for i in np.flatnonzero(~np.array(simple, bool)).tolist():
+            if i not in added:
+                found = PRE_TOKEN.findall(values[i])
+                pieces += found
+                more += [i] * len(found)
+        owner = np.r_[owner, np.array(more, np.int64)]
+        numbered = pa.array(pieces, pa.large_string()).dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        self.solve(sorted(p for p in distinct if p not in self._pieces))
+        known = self._pieces
+        totals = np.array([known[p][-1] for p in distinct], np.int64)
+        counts = np.bincount(
+            owner, weights=totals[numbered.indices.to_numpy()], minlength=len(values)
+        ).astype(np.int64)
+        counts[list(added)] = 1
+        return counts
+
+    def count_all(self, texts: list[str], limit: int | None = None) -> tuple[list[int], list[int]]:
+        """Tokens of each text, and, with a limit, the code points of its longest prefix that
+        has at most so many tokens."""
+        self.forget()
+        cut = cut_texts(texts, self.vocabulary)
+        counts = self._of_values(cut.values, cut.added)
+        before = np.r_[0, np.cumsum(counts[cut.codes])]
+        tokens = np.empty(len(texts), np.int64)
+        tokens[cut.order] = before[cut.offsets[1:]] - before[cut.offsets[:-1]]
+        fitting = list(map(len, texts))
+        if limit is None:
+            return tokens.tolist(), fitting
+        over = np.flatnonzero(tokens[cut.order] > limit)
+        if len(over):
+            lengths = np.fromiter(map(len, cut.values), np.int64, len(cut.values))
+            chars = np.r_[0, np.cumsum(lengths[cut.codes])]
+            low = cut.offsets[over]
+            # The first chunk that does not fit as a whole.
+            at = np.searchsorted(before, before[low] + limit, "right") - 1
+            starts = (chars[at] - chars[low]).tolist()
+            left = (limit - (before[at] - before[low])).tolist()
+            texts_over = cut.order[over].tolist()
+            for i, code, start, rest in zip(texts_over, cut.codes[at].tolist(), starts, left):
+                part = [1] * len(cut.values[code]) if code in cut.added else self._chunk(cut.values[code])
+                fitting[i] = self._within(texts[i], start, part, limit, rest)
+        return tokens.tolist(), fitting
+
+    def _chunk(self, value: str) -> list[int]:
+        """Tokens of every prefix of a chunk, the empty one left out."""
         counts: list[int] = []
-        base = 0
-        for piece in pieces:
-            ends = self._ends(piece)
-            counts += [base + n for n in ends] if base else ends
-            base += ends[-1]
-        return bytes(counts) if max(counts) < 256 else counts
-
-    def _known(self, memory: dict, found: list[str], lead: str) -> list:
-        """The prefix counts of chunks; ``lead`` stands before each of them."""
-        known = list(map(memory.get, found))
-        if None in known:
-            for i, counts in enumerate(known):
-                if counts is None:
-                    chunk = found[i]
-                    known[i] = memory.get(chunk) or memory.setdefault(
-                        chunk, self._joined(PRE_TOKEN.findall(lead + chunk))
-                    )
-        return known
+        for piece in PRE_TOKEN.findall(value):
+            base = counts[-1] if counts else 0
+            counts += [base + n for n in self._ends(piece)]
+        return counts
+
+    def _within(self, text: str, start: int, part: list[int], limit: int, rest: int) -> int:
+        """Code points of the longest prefix that ends in the chunk from ``start``, of which
+        ``rest`` tokens fit."""
+        if WHITE.search(text, max(0, start - 1), start + len(part) + 1):
+            inside = self.prefixes(text[: start + len(part) + 1])
+            return max(i for i, n in enumerate(inside) if n <= limit)
+        return start + max((i for i, n in enumerate(part, 1) if n <= rest), default=0)
 
     def parts(self, text: str) -> list:
-        """Prefix counts inside each chunk of the text, in order."""
+        """Prefix counts inside each pre-token of the text, in order."""
         out: list = []
         for i, segment in enumerate(self.vocabulary.segments(text)):
             if i % 2:  # an added token is not cut
                 out.append([1] * len(segment))
-            elif segment:
-                found, spaced = chunks(segment)
-                first = found[:1] if spaced else found
-                out += self._known(self._bare, [c for c in first if c], "")
-                if spaced:
-                    out += self._known(self._spaced, found[1:], " ")
+            else:
+                out += map(self._ends, PRE_TOKEN.findall(segment))
         return out
 
     def count(self, text: str) -> int:
@@ -202,16 +232,7 @@ class PrefixCounter:
 
     def longest_within(self, text: str, budget: int) -> int:
         """Code points of the longest prefix of at most ``budget`` tokens."""
-        total = start = 0
-        for part in self.parts(text):
-            if total + part[-1] <= budget:
-                total, start = total + part[-1], start + len(part)
-                continue
-            if WHITE.search(text, max(0, start - 1), start + len(part) + 1):
-                inside = self.prefixes(text[: start + len(part) + 1])
-                return max(i for i, n in enumerate(inside) if n <= budget)
-            return start + max((i for i, n in enumerate(part, 1) if total + n <= budget), default=0)
-        return len(text)
+        return self.count_all([text], budget)[1][0]
 
 
 _COUNTERS: dict[str, PrefixCounter] = {}
@@ -230,9 +251,13 @@ def prefix_tokens(text: Column, path: str | None = None) -> Column:
 
     @F.arrow_udf("array<int>")
     def table(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        prefixes = counter(path).prefixes
+        known = counter(path)
         for batch in batches:
-            yield pa.array([prefixes(t) for t in batch.to_pylist()], pa.list_(pa.int32()))
+            rows = []
+            for text in batch.to_pylist():
+                known.forget()
+                rows.append(np.array(known.prefixes(text), np.int32))
+            yield pa.array(rows, pa.list_(pa.int32()))
 
     return table(F.coalesce(text, F.lit("")))
 
@@ -257,16 +282,7 @@ def token_counts(docs: DataFrame, limit: int = 512, path: str | None = None) ->
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = counter(path)
         for batch in batches:
-            texts = batch.to_pylist()
-            tokens: list[int] = []
-            for start in range(0, len(texts), LEARNED_TEXTS):
-                part = texts[start : start + LEARNED_TEXTS]
-                known.learn(part)
-                tokens += map(known.count, part)
-            fitting = [
-                known.longest_within(t, limit) if n > limit else len(t)
-                for t, n in zip(texts, tokens)
-            ]
+            tokens, fitting = known.count_all(batch.to_pylist(), limit)
             yield pa.StructArray.from_arrays(
                 [pa.array(tokens, pa.int64()), pa.array(fitting, pa.int64())],
                 ["n_tokens", "fitting_chars"],

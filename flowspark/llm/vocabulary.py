@@ -172,17 +172,3 @@ def is_simple(value: str) -> bool:
     """Whether a chunk is a space and then only other characters; such chunks can be put
     together, and each has one pre-token that begins with a space."""
     return len(value) > 1 and value[0] == " " and not SPACE.search(value, 1)
-
-
-INNER_SPACE = re.compile(r"\s (?!\S)")
-
-
-def chunks(segment: str) -> tuple[list[str], bool]:
-    """Parts of a text that are encoded apart.
-
-    With True, all but the first stand for themselves with a space before them, and the
-    first has none; with False, all are complete.
-    """
-    if INNER_SPACE.search(segment):
-        return PRE_TOKEN.findall(segment), False
-    return segment.split(" "), True

@@ -1,16 +1,18 @@
 """Properties of the parts that run inside tasks."""
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from flowspark.llm import token_counts
 from flowspark.llm.chat_format import Formatter, Template
 from flowspark.llm.packing import difference, encoder, fill_windows
 from flowspark.llm.simhash import _stars
 from flowspark.llm.substring_dedup import FMIndex, WaveletMatrix
 from flowspark.llm.token_counts import counter
-from flowspark.llm.vocabulary import default_path
+from flowspark.llm.vocabulary import default_path, load
 
 LIBRARY = Tokenizer.from_file(default_path())
 PARTS = st.sampled_from(
@@ -103,3 +105,42 @@ def test_stars_join_all_links(values):
     near = np.bitwise_count(value[:, None] ^ value[None, :]) <= 3
     pairs = [(int(value[i]), int(value[j])) for i, j in zip(*np.nonzero(near))]
     assert parts(zip(a.tolist(), b.tolist())) == parts(pairs)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(TEXTS, max_size=6), st.integers(0, 12))
+def test_batches(texts, limit):
+    """Texts of a batch, whose chunks are numbered together, count and encode as alone."""
+    counts, fitting = counter(default_path()).count_all(texts, limit)
+    assert counts == [len(ids(t)) for t in texts]
+    known = counter(default_path())
+    for text, n, chars in zip(texts, counts, fitting):
+        inside = known.prefixes(text)
+        assert chars == (len(text) if n <= limit else max(i for i, c in enumerate(inside) if c <= limit))
+    encoded = dict(encoder(default_path()).encode_all(texts, 1))
+    assert [encoded[i].tolist() for i in range(len(texts))] == [[*ids(t), 1] for t in texts]
+
+
+@pytest.mark.parametrize(
+    "text", [" " * 3_000_000, "\n" * 3_000_000, "\t" * 3_000_000, " " * 3_000_000 + "word", "a" * 3_000_000,
+             "one  " + " \n" * 1_000_000 + "two", "漢" * 300_000],
+    ids=["spaces", "breaks", "tabs", "spaces and a word", "letters", "mixed", "ideographs"],
+)
+def test_very_long_runs(text):
+    wanted = ids(text)
+    assert np.frombuffer(encoder(default_path()).encode(text), "<u4").tolist() == wanted
+    assert counter(default_path()).count_all([text, ""])[0] == [len(wanted), 0]
+
+
+def test_what_is_remembered_stays_bounded(monkeypatch):
+    """By pre-tokens and by their length, also where prefixes are asked for text by text."""
+    monkeypatch.setattr(token_counts, "REMEMBERED", 1000)
+    monkeypatch.setattr(token_counts, "REMEMBERED_CHARS", 20_000)
+    known = token_counts.PrefixCounter(load(default_path()))
+    for n in range(40):
+        known.forget()
+        known.prefixes(" ".join(f"w{n}x{i}" for i in range(300)))
+        assert len(known._pieces) < 1000 + 1300 and len(known._stable) <= 1000
+    for n in range(5):
+        known.count_all([chr(97 + n) * 19_000])
+        assert known._chars < 20_000 + 19_000
