@@ -3,14 +3,20 @@
 Rejected documents go, lines that documents share stay in the first of them, one document
 of each group of near copies stays, the sources are mixed to their target weights (a
 document may appear several times, the one at a budget's end shortened), and the mix is
-packed into sequences.
+packed into sequences. Near copies are those of the SimHash operator: fingerprints of
+three-word shingles that differ in at most three bits.
+
+Cases: a NULL text is read as an empty one by every stage. A row without an id is a row like
+any other; it is kept instead of near copies only if they have no id either. Rows equal in id
+and text are near copies, so one of them stays, and ties are broken by the text's hash. An
+empty table gives no rows; without a label to learn from the classifier keeps every row. Further columns go along up to the mix, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowspark.llm import line_dedup, mixing, near_copies, packing, quality_classifier
+from flowspark.llm import line_dedup, mixing, packing, quality_classifier, simhash
 from flowspark.llm.common import saved, table
 
 
@@ -23,7 +29,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_copies.one_of_each(docs)
+    return simhash.one_of_each(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
