@@ -3,16 +3,17 @@
 Sources take the repeating weights in code-point order, NULL last, and share all tokens
 (words here). A target stops at ``max_epochs`` times its source; what is above is shared
 again by weight. Of a budget, whole epochs go to every document; the rest goes to the first
-documents in the order of a hash of their ids, and the last of them is cut to the word.
+documents in the order of a hash of their ids and texts, and the last of them is cut to the word.
 
-The hash order is range-partitioned: a source's hash space is cut into equal ranges of
-about ``range_rows`` documents each, so a source with a third of all rows is many ranges.
-Tokens are summed for each range, the sums are added up over a source's ranges, and inside
-a range documents are sorted. Only ids, sizes and hashes take part.
+Rows of equal id and text are interchangeable and are one row with a count until the end. The
+hash order is range-partitioned: a source's hash space is cut into equal ranges of about
+``range_rows`` documents each, so a source with a third of all rows is many ranges, and so
+are rows that share an id or have none. Tokens are summed for each range, the sums are added
+up over a source's ranges, and inside a range documents are sorted. Only ids, sizes and hashes
+take part.
 
 Cases: a NULL or empty text has size 0 and is taken 0 words; NULL is a source of its own;
-sources without a word have target 0. Repeated rows count each; rows that agree in the
-hash are ordered by id and text. An empty table gives no rows. Further columns are kept
+sources without a word have target 0. Repeated rows count each, one after the other. An empty table gives no rows. Further columns are kept
 by ``mix_documents`` and left out by ``mixing``, whatever their names.
 """
 
@@ -37,11 +38,17 @@ def _row_key(docs: DataFrame) -> list[Column]:
     ]
 
 
+def _known(value: Column) -> Column:
+    """A text that tells NULL from every value."""
+    return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit(""))
+
+
 def targets(sized: DataFrame, weights: Sequence[int], max_epochs: int) -> DataFrame:
     """(source, source_rows, source_size, target) of every source."""
     totals = saved(
         sized.groupBy("source").agg(
-            F.count(F.lit(1)).alias("source_rows"), F.sum("size").alias("source_size")
+            F.count(F.lit(1)).alias("source_rows"),
+            F.sum(F.col("size") * F.col("copies")).alias("source_size"),
         ),
         "sources",
     )
@@ -84,13 +91,18 @@ def mix(
     range_rows: int = 4096,
 ) -> DataFrame:
     """doc_id, text_hash, size, source_size, target and taken of every row."""
-    random = F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    text_digest = F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary"))
     sized = saved(
         docs.select(
             *_row_key(docs),
             docs["source"].cast("string").alias("source"),
             F.size(words_of(docs["text"])).cast("long").alias("size"),
-        ).withColumn("random", random),
+            text_digest.alias("digest"),
+        )
+        .withColumn("random", F.md5(F.concat(F.lit("mix:"), doc, F.lit(":"), "digest")))
+        .groupBy("doc_id", "text_hash", "source", "size", "random")
+        .agg(F.count(F.lit(1)).alias("copies")),
         "sizes",
     )
     shares = targets(sized, weights, max_epochs)
@@ -107,12 +119,12 @@ def mix(
         sized.withColumnRenamed("source", "of")
         .join(shares, F.col("of").eqNullSafe(F.col("source")))
         .withColumn("range", F.floor(place * F.col("ranges") / F.lit(HASH_RANGE)))
-        .withColumn("of", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+        .withColumn("of", _known(F.col("source")))
     )
     earlier = Window.partitionBy("of").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         ranged.groupBy("of", "range")
-        .agg(F.sum("size").alias("in_range"))
+        .agg(F.sum(F.col("size") * F.col("copies")).alias("in_range"))
         .select("of", "range", F.coalesce(F.sum("in_range").over(earlier), F.lit(0)).alias("start"))
     )
     inside = (
@@ -120,11 +132,17 @@ def mix(
         .orderBy("random", "doc_id", "text_hash")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+    sizes = F.sum(F.col("size") * F.col("copies")).over(inside)
+    placed = ranged.join(starts, ["of", "range"]).withColumn(
+        "before", F.col("start") + F.coalesce(sizes, F.lit(0))
+    )
+    before = F.col("before") + (F.col("copy") - 1) * F.col("size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - before))
-    return ranged.join(starts, ["of", "range"]).select(
+    return placed.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(
         "doc_id",
         "text_hash",
+        "source",
+        "copy",
         "size",
         "source_size",
         "target",
@@ -134,7 +152,29 @@ def mix(
 
 def mixing(docs: DataFrame, **settings) -> DataFrame:
     """doc_id, size, source_size, target and taken of every row."""
-    return mix(docs, **settings).drop("text_hash")
+    return mix(docs, **settings).drop("text_hash", "source", "copy")
+
+
+def numbered_copies(rows: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """Rows numbered from 1 among those of equal keys, many copies in many tasks.
+
+    Each part of the scan numbers its own; the counts of the parts before are added. The rows
+    have to come straight from files, whose parts are the same in every attempt.
+    """
+    parts = rows.withColumn("_part", F.spark_partition_id())
+    counts = saved(parts.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n")), "copies")
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = saved(
+        counts.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .where("_start > 0")
+        .select(*keys, "_part", "_start"),
+        "copies",
+    )
+    own = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(F.lit(1)))
+    numbered = parts.withColumn("_own", own).join(starts, [*keys, "_part"], "left")
+    return numbered.withColumn(column, F.col("_own") + F.coalesce("_start", F.lit(0))).drop(
+        "_part", "_own", "_start"
+    )
 
 
 def mix_documents(docs: DataFrame, **settings) -> DataFrame:
@@ -144,24 +184,27 @@ def mix_documents(docs: DataFrame, **settings) -> DataFrame:
     last row; ``n_chars`` follows if present.
     """
     taken = mix(docs, **settings).where("taken > 0")
-    doc, text = _row_key(docs)
+    _, text = _row_key(docs)
+    keys = ["_doc", "_text", "_of"]
     rows = docs.select(
-        F.coalesce(doc, F.lit(-1)).alias("_doc"),
+        _known(docs["doc_id"].cast("long")).alias("_doc"),
         text.alias("_text"),
+        _known(docs["source"]).alias("_of"),
         F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
         docs["text"].alias("_whole"),
     )
-    same = Window.partitionBy("_doc", "_text")
-    rows = rows.withColumn("_n", F.row_number().over(same.orderBy(F.lit(1))))
     # Equal rows are told apart by number, so that each gets one of their shares.
+    rows = numbered_copies(rows, keys, "_n")
     shares = taken.select(
-        F.coalesce("doc_id", F.lit(-1)).alias("_doc"),
+        _known(F.col("doc_id")).alias("_doc"),
         F.col("text_hash").alias("_text"),
+        _known(F.col("source")).alias("_of"),
+        F.col("copy").cast("long").alias("_n"),
         "size",
         "taken",
-    ).withColumn("_n", F.row_number().over(same.orderBy(F.desc("taken"))))
+    )
     times = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    repeated = rows.join(shares, ["_doc", "_text", "_n"]).select(
+    repeated = rows.join(shares, [*keys, "_n"]).select(
         "_row", "_whole", "size", "taken", F.explode(F.sequence(F.lit(1), times)).alias("_time")
     )
     left = F.col("taken") - (F.col("_time") - 1) * F.col("size")
@@ -178,7 +221,7 @@ ORACLE_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-    md5('mix:' || doc_id) AS random
+    md5('mix:' || doc_id || ':' || md5(coalesce(text, ''))) AS random
   FROM documents
 ), sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

@@ -30,7 +30,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark.llm.common import saved, ship
@@ -271,7 +271,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         ).select("s.*")
 
     def smallest(rows: DataFrame) -> DataFrame:
-        least = rows.groupBy("u").agg(F.min("v").alias("m"))
+        # Written, so that the join has an exchange for each side and a hub's rows are split.
+        least = saved(rows.groupBy("u").agg(F.min("v").alias("m")), "least")
         return rows.join(least.select("u", F.least("u", "m").alias("m")), "u")
 
     def state(pairs: DataFrame) -> tuple[int, int]:
@@ -338,7 +339,8 @@ def with_components(
         ),
         "components",
     )
-    ids = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Written for the same reason: a root may have most of the fingerprints.
+    ids = saved(placed.groupBy("root").agg(F.min("first").alias("component_id")), "ids")
     named = placed.join(ids, "root").select("fp", "root", "component_id")
     return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
@@ -361,13 +363,11 @@ def first_of_each(docs: DataFrame, grouped: DataFrame) -> DataFrame:
     rows = docs.select(
         *key(docs["doc_id"].cast("long"), text_hash),
         F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
-    ).join(kept, ["_doc", "_text"], "left_semi")
-    # Rows that are equal in id and text both match; one of them stays.
-    first = Window.partitionBy("_doc", "_text").orderBy(F.lit(1))
-    return (
-        rows.withColumn("_n", F.row_number().over(first))
-        .where("_n = 1")
-        .select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+    )
+    # Of rows that are equal in id and text one stays; they combine before their shuffle.
+    one = rows.groupBy("_doc", "_text").agg(F.first("_row").alias("_row"))
+    return one.join(kept, ["_doc", "_text"], "left_semi").select(
+        *[F.col("_row").getField(c).alias(c) for c in docs.columns]
     )
 
 

@@ -1,10 +1,12 @@
-"""Shards of many fingerprints are divided, and lose no link by it."""
+"""Hot shards and hot keys are divided, and lose nothing by it."""
+
+from collections import Counter
 
 import numpy as np
 import pytest
 from brute import component_of
 
-from flowspark.llm import simhash
+from flowspark.llm import mixing, simhash
 
 
 @pytest.mark.parametrize("blocks", [5, 4])
@@ -32,3 +34,34 @@ def test_hot_shards_are_divided_without_a_loss(spark, blocks):
         sorted(v for v, n in zip(signed, names) if n == name) for name in set(names)
     )
     assert groups(got) == groups(expected)
+
+
+def test_mixing_spreads_rows_without_an_id(spark):
+    """A third of the rows have no id and a third are one row: their ranges stay small."""
+    rows = [(None, f"text {i} of these") for i in range(900)]
+    rows += [(5, "the same text again")] * 900 + [(i, f"own {i} text") for i in range(10, 910)]
+    docs = spark.createDataFrame([(d, t, "s", None) for d, t in rows],
+                                 "doc_id long, text string, source string, lang string")
+    got = mixing.mix(docs, range_rows=64)
+    assert got.count() == 2700
+    taken = got.groupBy().sum("taken").first()[0]
+    target = got.first()["target"]
+    assert taken == int(target)
+    mixed = mixing.mix_documents(docs, range_rows=64)
+    assert mixed.where("doc_id = 5").count() == 900
+
+
+def test_mixing_keeps_a_null_apart_from_numbers(spark):
+    rows = [(None, "a b c", "s")] * 3 + [(-1, "a b c", "s")] * 2 + [(-1, "a b c", None)] * 4
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = Counter((r.doc_id, r.source) for r in mixing.mix(docs).collect() for _ in range(-(-r.taken // 3)))
+    kept = Counter((r.doc_id, r.source) for r in mixing.mix_documents(docs).collect())
+    assert taken == kept
+
+
+def test_rows_repeated_in_full_are_one(spark):
+    docs = spark.createDataFrame(
+        [(7, "the same text", "x")] * 500 + [(9, "another text of words", "x")],
+        "doc_id long, text string, _row string",
+    ).repartition(6)
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == [7, 9]
