@@ -22,3 +22,15 @@ def build_session(name: str) -> SparkSession:
     """Session of a job. Memory, cores and shuffle sizes are left to spark-submit."""
     builder = SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC")
     return tune(builder.getOrCreate())
+
+
+def with_settings(spark: SparkSession, settings: dict[str, object]) -> SparkSession:
+    """A clone of the session with other SQL settings.
+
+    It shares catalog, context and tables; what is planned or started in it sees the settings,
+    and the session itself, which others may be using, keeps its own.
+    """
+    clone = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    for name, value in settings.items():
+        clone.conf.set(name, value)
+    return clone

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,14 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowspark.schema import flow_schema, quoted
+from flowspark.sources.headers import layouts
 
 CORRUPT = "_corrupt_record"
 
 
 #: Strict scans by name: the number of columns in the header of the row's file.
 WIDTH = "_header_width"
-#: Files whose headers are read at the same time.
-HEADER_THREADS = 16
 
 
 def read_flows(
@@ -33,7 +30,7 @@ def read_flows(
 ) -> DataFrame:
     """One scan over all files of one layout.
 
-    Columns are found by name: the first line of each file is read beforehand, files with
+    Columns are found by name: tasks read the first line of each file beforehand, files with
     equal headers are scanned together, and each layout's columns are brought into the
     order of the schema. Further columns are left out; a missing one fails with the file's
     name. ``header=False`` takes columns by position instead, for files without a header.
@@ -68,57 +65,20 @@ def read_flows(
         return reader.option("inferSchema", True).csv(paths).select("*", *file)
     if not header:
         return scan(paths, wanted).select("*", *file)
-    layouts = header_layouts(spark, paths)
     scans = []
-    for names, files in layouts.items():
-        places = places_of([f.name for f in wanted], names, files[0])
-        fields = [T.StructField(f"_column{i}", T.StringType(), True) for i in range(len(names))]
+    for layout in layouts(spark, paths):
+        width = len(layout.names)
+        places = places_of([f.name for f in wanted], layout.names, layout.example)
+        fields = [T.StructField(f"_column{i}", T.StringType(), True) for i in range(width)]
         for place, field in zip(places, wanted):
             fields[place] = T.StructField(field.name, field.dataType, True)
-        df = scan(paths if len(layouts) == 1 else files, fields)
+        df = scan(layout.paths, fields)
         columns = [F.col(quoted(field.name)) for field in wanted]
-        extra = [F.col(CORRUPT), F.lit(len(names)).alias(WIDTH)] if strict else []
+        extra = [F.col(CORRUPT), F.lit(width).alias(WIDTH)] if strict else []
         scans.append(df.select(*columns, *extra, *file))
     return reduce(DataFrame.unionByName, scans)
 
 
-def header_layouts(
-    spark: SparkSession, paths: Sequence[str]
-) -> dict[tuple[str, ...], list[str]]:
-    """The files below ``paths`` by the names in their first lines.
-
-    Spark lists the files on the driver as for any scan; here the driver also opens each
-    for its first line, several at once.
-    """
-    files = spark.read.text(list(paths)).inputFiles()
-    with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        lines = list(pool.map(lambda file: _first_line(spark, file), files))
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for file, line in zip(files, lines):
-        if line is None:  # an empty file has no rows in any layout
-            continue
-        names = tuple(name.strip() for name in next(csv.reader([line.removeprefix("\ufeff")]), []))
-        layouts.setdefault(names, []).append(file)
-    if not layouts:
-        raise ValueError(f"no header in {', '.join(paths)}")
-    return layouts
-
-
-def _first_line(spark: SparkSession, file: str) -> str | None:
-    """The first line of a file, compressed or not, through Spark's file systems."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
-    stream = path.getFileSystem(conf).open(path)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
-        plain = stream if codec is None else codec.createInputStream(stream)
-        return jvm.java.io.BufferedReader(
-            jvm.java.io.InputStreamReader(plain, "UTF-8")
-        ).readLine()
-    finally:
-        stream.close()
-
-
 def places_of(wanted: Sequence[str], names: Sequence[str], file: str) -> list[int]:
     """Where each wanted column stands among a file's names.
 
