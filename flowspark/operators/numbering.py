@@ -50,12 +50,10 @@ def number_rows(
     """
     ranged = range_rows(df, key, partitions)
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # One row a range; written, so that ranges of many rows stay where they are.
-    offsets = saved(
+    offsets = (
         ranged.groupBy("_range")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")),
-        "offsets",
+        .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     inside = Window.partitionBy("_range").orderBy(*composite_order(df, key))
     return (

@@ -9,16 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from flowspark.functions.messages import is_json_object
+from flowspark.functions.messages import is_json_object, is_object, keys_of, once, parse_keys
 from flowspark.streaming.parsing import clean_flows, decode_messages
 from flowspark.streaming.running import run_for, write_table
 
 
 def message_format(messages: DataFrame, passthrough: Sequence[str] = ()) -> DataFrame:
     """Per message: is it a JSON object, how many keys, which first, how it begins."""
-    text = decode_messages(messages, passthrough)
-    keys = F.when(is_json_object(F.col("json_string")), F.json_object_keys("json_string"))
-    listed = text.withColumn("keys", keys)
+    text = F.col("json_string")
+    parsed = once(decode_messages(messages, passthrough), "parsed", parse_keys(text))
+    keys = F.when(is_object(F.col("parsed"), text), keys_of(F.col("parsed")))
+    listed = parsed.withColumn("keys", keys)
     return listed.select(
         *passthrough,
         F.col("keys").isNotNull().alias("is_valid"),

@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.functions.messages import from_message, is_json_object
+from flowspark.functions.messages import (
+    SEAL,
+    fields_of,
+    from_message,
+    is_object,
+    once,
+    parse_fields,
+)
 from flowspark.operators.cleaning import cast_and_clean
 from flowspark.schema import quoted
 
@@ -34,16 +41,16 @@ def parse_messages(
 
     The fields are taken out by ``inline``, not ``data.*``. Catalyst moves a later filter
     on the fields below a projection and would copy the JSON parser into it once per
-    field; it does not move one below a generator, so each message is parsed once.
+    field; it does not move one below a generator, so each message is parsed once, by one
+    parser for the test and the fields.
     """
-    text = decode_messages(messages, passthrough)
-    if valid_only:
-        text = text.filter(is_json_object(F.col("json_string")))
-    return text.select(
-        *map(quoted, passthrough),
-        "kafka_timestamp",
-        F.inline(F.array(from_message(F.col("json_string"), features))),
-    )
+    decoded, text = decode_messages(messages, passthrough), F.col("json_string")
+    kept = [*map(quoted, passthrough), "kafka_timestamp"]
+    if not valid_only:
+        return decoded.select(*kept, F.inline(F.array(from_message(text, features))))
+    parsed = once(decoded, "parsed", parse_fields(text, features))
+    valid = parsed.filter(is_object(F.col("parsed"), text))
+    return valid.select(*kept, F.inline(F.array(fields_of(F.col("parsed"))))).drop(SEAL)
 
 
 def clean_flows(
