@@ -254,6 +254,10 @@ FROM flows GROUP BY 1, 2 WINDOW f AS (PARTITION BY flow_id % 8)""",
         "hash_sample": f"SELECT flow_id FROM flows WHERE {_below(0.1)}",
         "stratified_sample": 'SELECT flow_id, "Label" FROM sampled',
         "hash_split": f"SELECT flow_id, {_SPLIT} AS split FROM flows",
+        "row_key_draws": "SELECT count(*) AS \"rows\", CAST(0 AS BIGINT) AS drawn_once, "
+        "true AS about_a_tenth FROM flows",
+        "row_key_split": "SELECT flow_id, CAST(2 AS BIGINT) AS times, CAST(1 AS BIGINT) AS parts "
+        "FROM sampled",
         "random_split_cover": 'SELECT flow_id, CAST(1 AS BIGINT) AS "count" FROM flows',
         "union_strata": 'SELECT flow_id, "Label" FROM sampled',
         "union_files": _ETL_CLEAN,
@@ -298,7 +302,7 @@ SELECT CAST(20 AS INTEGER) AS trees, CAST(count(DISTINCT "Label") AS INTEGER) AS
 FROM sampled WHERE {_SPLIT_NAMES['train']}""",
         "evaluation_agrees": f"""
 SELECT count(*) AS "rows", true AS accuracy_agrees, true AS recall_agrees,
-  true AS precision_in_range, true AS f1_in_range
+  true AS precision_agrees, true AS f1_agrees
 FROM sampled WHERE {_SPLIT_NAMES['test']} AND {_below(0.3, 'test:42')}""",
         "stream_detect_messages": f"SELECT flow_id, {CLEAN}, true AS known_class FROM flows",
         "model_round_trip": f"SELECT flow_id, true AS same FROM ({tests})",

@@ -18,9 +18,9 @@ from flowspark.operators.sampling import (
     hash_sample,
     hash_split,
     random_split,
-    scan_split,
 )
 from flowspark.schema import LABEL
+from flowspark.sources.row_identity import ROW_KEY, with_row_key
 
 
 @dataclass(frozen=True)
@@ -46,15 +46,18 @@ def split_sets(
     """Training part, and the sample of the test part that is scored.
 
     With a key both are decided by digest, each under its own purpose. Without one, rows
-    read straight ``from_files`` are drawn without the sort that others need.
+    read straight ``from_files`` (Parquet) get theirs from where they stand; others are drawn by
+    Spark's own split, which sorts.
     """
     weights = [train, 1.0 - train]
-    if key is None:
-        draw = scan_split if from_files else random_split
-        train_df, test_df = draw(df, weights, seed)
+    if key is None and not from_files:
+        train_df, test_df = random_split(df, weights, seed)
         return train_df, bernoulli_sample(test_df, scored, seed)
-    train_df, test_df = hash_split(df, weights, key, seed)
-    return train_df, hash_sample(test_df, scored, key, seed, purpose="test")
+    keyed = with_row_key(df) if key is None else df
+    by = key or ROW_KEY
+    train_df, test_df = hash_split(keyed, weights, by, seed)
+    test_df = hash_sample(test_df, scored, by, seed, purpose="test")
+    return (train_df, test_df) if key else (train_df.drop(by), test_df.drop(by))
 
 
 def evaluate(model: PipelineModel, test: DataFrame, label: str = LABEL) -> Evaluation:

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowspark.schema import flow_schema, quoted
+from flowspark.session import with_settings
 from flowspark.sources.headers import layouts
+from flowspark.sources.row_identity import BLOCK_BYTES, block_key, block_settings
 
 CORRUPT = "_corrupt_record"
 
@@ -27,6 +29,8 @@ def read_flows(
     strict: bool = False,
     file_column: str | None = None,
     header: bool = True,
+    row_key: str | None = None,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One scan over all files of one layout.
 
@@ -45,11 +49,15 @@ def read_flows(
     the wrong width into ``_corrupt_record`` and, by name, adds ``_header_width``;
     otherwise the parser reads the asked-for columns only. Unreadable files fail the job in
     both cases. ``file_column`` adds the path each row came from.
+
+    ``row_key`` adds a key for files that have none, from file, block and place. Blocks are of
+    ``block_bytes`` whatever the session has, so the frame belongs to a clone of the session.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     wanted = schema or flow_schema()
+    own = spark if row_key is None else with_settings(spark, block_settings(block_bytes))
     reader = (
-        spark.read.option("header", header)
+        own.read.option("header", header)
         .option("ignoreCorruptFiles", False)
         .option("columnPruning", not strict)
     )
@@ -61,6 +69,8 @@ def read_flows(
         return reader.schema(T.StructType([*fields, *corrupt])).csv(list(files))
 
     file = [] if file_column is None else [F.col("_metadata.file_path").alias(file_column)]
+    if row_key is not None:
+        file.append(block_key().alias(row_key))
     if infer:
         return reader.option("inferSchema", True).csv(paths).select("*", *file)
     if not header:
