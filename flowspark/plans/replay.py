@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowspark.operators.numbering import number_rows
 from flowspark.schema import FEATURES, LABEL, flow_schema
+from flowspark.scratch import scope
 from flowspark.sinks.messages import ReplayTotals, replay_messages, send
 from flowspark.sources.flow_csv import CORRUPT, WIDTH, field_count, read_flows
 
@@ -32,7 +33,8 @@ def replay_csv(
     raw = read_flows(spark, paths, schema=flow_schema(names, label=None), strict=True)
     too_long = field_count(F.col(CORRUPT)) > F.col(WIDTH)
     keyed = raw.withColumn("_key", F.monotonically_increasing_id() + 1)
-    if dense_keys:
-        keyed = number_rows(keyed.withColumnRenamed("_key", "_position"), "_position", "_key")
-    messages = replay_messages(keyed, "_key", names, passthrough=[CORRUPT, WIDTH])
-    return send(messages, path=path, dropped=too_long, kafka=kafka)
+    with scope():  # the numbered ranges go when all is sent
+        if dense_keys:
+            keyed = number_rows(keyed.withColumnRenamed("_key", "_position"), "_position", "_key")
+        messages = replay_messages(keyed, "_key", names, passthrough=[CORRUPT, WIDTH])
+        return send(messages, path=path, dropped=too_long, kafka=kafka)

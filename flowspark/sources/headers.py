@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowspark.scratch import saved
+from flowspark.scratch import saved, scope
 from flowspark.session import with_settings
 
 #: Bytes up to which files are read together.
@@ -107,7 +107,11 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 def layouts(spark: SparkSession, paths: Sequence[str]) -> list[Layout]:
     """The layouts of the files below ``paths``, that of most files first."""
-    table = headers(spark, paths)
+    with scope():  # the table is used up here
+        return _layouts(headers(spark, paths), paths)
+
+
+def _layouts(table: DataFrame, paths: Sequence[str]) -> list[Layout]:
     found = (
         table.groupBy("names")
         .agg(
