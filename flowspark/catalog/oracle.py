@@ -164,6 +164,14 @@ _PER_MINUTE = (
     "SELECT date_trunc('minute', ts) AS window_start, \"Label\", count(*) AS \"count\" "
     "FROM mapped GROUP BY 1, 2"
 )
+# CSV has no empty text: it is read as NULL.
+_SKETCHES = " UNION ALL ".join(
+    f"SELECT {_text(n)} AS \"column\", count(DISTINCT nullif({_quoted(n)}, '')) AS exact, "
+    f"count(nullif({_quoted(n)}, '')) AS \"values\", "
+    f"count(*) FILTER (nullif({_quoted(n)}, '') IS NULL) AS missing, "
+    "true AS same_merged, true AS within_error FROM flows"
+    for n in TEXT_COLUMNS
+)
 _TRAINING_SET = f'SELECT flow_id, {TEXT_FEATURES}, "Label" FROM sampled'
 _ETL_CLEAN = f'SELECT flow_id, {TEXT_FEATURES}, "Label" FROM clean'
 _DAMAGED_STATUS = (
@@ -326,6 +334,17 @@ WHERE {_SPLIT_NAMES['test']} AND {_below(0.3, 'test:42')} GROUP BY 1, 2""",
         "true AS within_limit FROM flows",
         "stream_restart": 'SELECT flow_id, "Predicted_Attack" FROM predicted',
         "stream_attacks_per_minute": _PER_MINUTE,
+        # Spark keeps the watermark in whole milliseconds.
+        "stream_late_rows": """
+SELECT count(*) + 1 AS "read", count(*) FILTER (NOT late) AS counted, CAST(1 AS BIGINT) AS "open",
+  count(*) FILTER (late) AS late, count(*) FILTER (late) > 0 AS groups_dropped
+FROM (SELECT flow_id % 10 = 3 AND date_trunc('minute', ts) + INTERVAL 1 MINUTE <=
+    date_trunc('milliseconds', max(ts) FILTER (flow_id % 10 <> 3) OVER ()) - INTERVAL 10 MINUTE
+    AS late FROM flows)""",
+        "detections_compacted": 'SELECT flow_id, "Predicted_Attack", '
+        "CASE WHEN ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM flows) THEN CAST(4 AS BIGINT) "
+        "ELSE CAST(2 AS BIGINT) END AS reads, true AS fewer_files FROM predicted",
+        "distinct_sketches": _SKETCHES,
         "stream_score": "SELECT flow_id, CAST(1 AS BIGINT) AS times_streamed, "
         "true AS same_as_batch FROM flows",
     }

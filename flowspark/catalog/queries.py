@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 from functools import partial, wraps
 
 from pyspark.ml.functions import vector_to_array
@@ -30,6 +31,7 @@ from flowspark.operators import (
     profile,
     sampling,
     sets,
+    sketches,
 )
 from flowspark.plans import training
 from flowspark.plans.detection import detect_with_model, model_scorer
@@ -37,6 +39,7 @@ from flowspark.plans.training_set import build_training_set, training_set
 from flowspark.schema import FEATURES, LABEL, PREDICTED, flow_schema, string_schema
 from flowspark.scratch import new_folder, saved
 from flowspark.session import tune, with_settings
+from flowspark.sinks import detections
 from flowspark.sinks.messages import replay_messages, send
 from flowspark.sinks.training_set import write_training_set
 from flowspark.sources.flow_csv import (
@@ -48,7 +51,7 @@ from flowspark.sources.flow_csv import (
 from flowspark.sources.messages import read_folder, stream_folder
 from flowspark.sources.row_identity import ROW_KEY
 from flowspark.sources.training_set import read_training_set
-from flowspark.streaming import health, parsing
+from flowspark.streaming import health, lateness, parsing
 from flowspark.streaming.detection import batch_summary, detect
 from flowspark.streaming.running import finish, write_parquet, write_table
 from flowspark.streaming.windows import attacks_per_window_stream
@@ -270,6 +273,36 @@ def distinct_per_column(spark, sf_dir):
     return profile.distinct_per_column(flows(spark, sf_dir), TEXT_COLUMNS)
 
 
+@query
+def distinct_sketches(spark, sf_dir):
+    """Distinct counts from stored sketches of each file, merged, beside the exact ones."""
+    stored = saved(
+        sketches.column_sketches(inputs.feed_scan(spark, sf_dir), TEXT_COLUMNS, by=["feed"]),
+        "sketches",
+    )
+    merged = sketches.distinct_estimates(sketches.merged_sketches(stored))
+    whole = sketches.distinct_estimates(
+        sketches.column_sketches(inputs.feed_scan(spark, sf_dir), TEXT_COLUMNS)
+    ).select("column", F.col("distinct_values").alias("one_pass"))
+    exact = profile.distinct_per_column(inputs.feed_scan(spark, sf_dir), TEXT_COLUMNS).select(
+        "column", F.col("distinct_values").alias("exact")
+    )
+    # Four standard errors; two estimates of one value may be two rounding steps apart.
+    bound = 4 * sketches.relative_error() * F.col("exact") + 2
+    return (
+        merged.join(whole, "column")
+        .join(exact, "column")
+        .select(
+            "column",
+            "exact",
+            "values",
+            "missing",
+            (F.abs(F.col("distinct_values") - F.col("one_pass")) <= bound / 2).alias("same_merged"),
+            (F.abs(F.col("distinct_values") - F.col("exact")) <= bound).alias("within_error"),
+        )
+    )
+
+
 @query
 def invalid_value_profile(spark, sf_dir):
     return profile.invalid_value_profile(inputs.wide_parquet(spark, sf_dir), FEATURES)
@@ -845,6 +878,67 @@ def stream_attacks_per_minute(spark, sf_dir):
     return written.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+@query
+def stream_late_rows(spark, sf_dir):
+    """Every row read is counted, open or late.
+
+    A tenth of the messages arrive after all others, in a third micro-batch; a last message far
+    ahead in time closes the windows, and its own stays open.
+    """
+    source, output, checkpoint, intake = (
+        new_folder(spark, f"late-{part}") for part in ("topic", "out", "checkpoint", "intake")
+    )
+    messages = inputs.messages(spark, sf_dir)
+    held = F.col("key").cast("string").cast("bigint") % 10
+    in_time, held_back = messages.filter(held != 3), messages.filter(held == 3)
+    closing = messages.agg(
+        F.lit(b"").alias("key"),
+        F.lit(b"{}").alias("value"),
+        (F.max("timestamp") + F.expr("INTERVAL 1 DAY")).alias("timestamp"),
+    )
+    stream = None
+    for part in [*inputs.time_slices(in_time, "ts", 2), held_back, closing]:
+        send(part, source)
+        parsed = parsing.parse_messages(stream_folder(spark, source), [LABEL])
+        stream = attacks_per_window_stream(cleaning.map_labels(parsed), label=LABEL)
+        started = write_parquet(
+            stream, output, checkpoint, interval=None, state_partitions=STATE_PARTITIONS
+        )
+        lateness.finish_counting(started, intake)
+    counts = spark.read.schema(stream.schema).parquet(output)
+    opened = lateness.open_rows(spark, checkpoint)
+    found = lateness.late_rows(counts, spark.read.parquet(intake), opened)
+    return found.select(
+        "read", "counted", "open", "late", (F.col("late_groups") > 0).alias("groups_dropped")
+    )
+
+
+@query
+def detections_compacted(spark, sf_dir):
+    """Detections read while and after their closed day is compacted, once beside late files."""
+    source, output, checkpoint = (
+        new_folder(spark, f"compacted-{part}") for part in ("topic", "out", "checkpoint")
+    )
+    tomorrow = date.today() + timedelta(days=2)
+    reads, made = [], None
+    for part in inputs.time_slices(inputs.messages(spark, sf_dir), "ts", 2):
+        send(inputs.spread(part), source)
+        stream = _rule_detections(stream_folder(spark, source, inputs.FILES_PER_TRIGGER))
+        dated = stream.withColumn("detected_on", F.to_date("processing_time"))
+        finish(
+            write_parquet(dated, output, checkpoint, interval=None, partition_by=["detected_on"])
+        )
+        # The second time, what the first manifest does not know lies beside what it does.
+        reads.append(saved(detections.read_detections(spark, output), "read"))
+        made = detections.compact(spark, output, tomorrow, settled=timedelta(0))
+        reads.append(saved(detections.read_detections(spark, output), "read"))
+    fewer = all(entry["files"] < entry["replaced"] for entry in made.days.values())
+    rows = _with_id(sets.union_all([df.select("key", PREDICTED) for df in reads]))
+    return rows.groupBy("flow_id", PREDICTED).agg(
+        F.count(F.lit(1)).alias("reads"), F.lit(fewer).alias("fewer_files")
+    )
+
+
 @query
 def stream_score(spark, sf_dir):
     """Stream scores beside batch scores of the same flows: once each, and equal."""

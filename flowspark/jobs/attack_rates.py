@@ -1,7 +1,8 @@
 """Attack counts per minute, from the detections table as it grows.
 
 Reading the written detections means every flow is scored once, however many
-statistics are kept.
+statistics are kept. With ``--intake``, ``flowspark.streaming.lateness.late_rows`` tells how
+many rows came too late for their window.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ import argparse
 
 from flowspark.jobs.options import add_limit, add_trigger, interval, limit
 from flowspark.session import build_session
+from flowspark.streaming.lateness import finish_counting
 from flowspark.streaming.running import ROCKSDB, wait_for_any, write_parquet
 from flowspark.streaming.windows import attacks_per_window_stream
 
@@ -24,6 +26,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--lateness", default="10 minutes")
     add_limit(parser, "files of detections")
     parser.add_argument("--state-partitions", type=int, default=8)
+    parser.add_argument(
+        "--intake", help="folder for what each micro-batch read and dropped, to count late rows"
+    )
     args = parser.parse_args(argv)
     spark = build_session("attack-rates")
     for name, value in ROCKSDB.items():
@@ -37,7 +42,10 @@ def main(argv: list[str] | None = None) -> None:
     query = write_parquet(
         counts, args.output, args.checkpoint, interval(args), args.state_partitions
     )
-    wait_for_any([query])
+    if args.intake:
+        finish_counting(query, args.intake)
+    else:
+        wait_for_any([query])
 
 
 if __name__ == "__main__":
