@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from flowspark.llm import line_dedup, mixing, packing, quality_classifier, simhash
-from flowspark.llm.common import saved, table
+from flowspark.llm.common import table
+from flowspark.scratch import release, result
 
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage made on its way is deleted once its rows are written,
+    and those once the next stage's are."""
+    docs = documents = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), name)
+        before = docs
+        docs = result(spark, name, lambda stage=stage, docs=before: stage(spark, docs, sf_dir))
+        if before is not documents:
+            release(before)
     return docs

@@ -1,5 +1,7 @@
 """The pipeline's stages, each against brute force on what the one before kept."""
 
+import glob
+import os
 from collections import Counter
 
 import numpy as np
@@ -11,6 +13,7 @@ from flowspark.llm import quality_classifier
 from flowspark.llm.common import saved, table
 from flowspark.llm.packing import encoder
 from flowspark.llm.vocabulary import default_path
+from flowspark.scratch import shared_root
 
 SF = "/root/testdata/sf0.001"
 
@@ -96,6 +99,69 @@ def test_packed(frames):
     assert max(fills.values()) <= 2048
 
 
+def folders(spark):
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{shared_root(spark)}/flowspark-*")}
+
+
 def test_run(spark, frames):
-    again = corpus_pipeline.run(spark, SF)
-    assert again.columns == frames[5].columns and again.count() == frames[5].count()
+    """The same rows as stage by stage; of each run only they are left on the disk."""
+    left = []
+    for _ in range(2):
+        before = folders(spark)
+        again = corpus_pipeline.run(spark, SF)
+        assert again.columns == frames[5].columns and again.count() == frames[5].count()
+        new = folders(spark).keys() - before.keys()
+        left.append(sum(os.path.getsize(f) for folder in new
+                        for f in glob.glob(f"{folder}/**", recursive=True) if os.path.isfile(f)))
+        assert len(new) == 1
+    assert abs(left[0] - left[1]) < 0.2 * left[0]
+
+
+EDGES = [
+    (1, "one two three four five six\nA line that many documents share.", "a", 1), (2, "", "a", 0),
+    (3, None, None, 1), (None, "A line that many documents share.\nwith no id at all", "b", 1),
+    (None, None, "b", 0), (4, "the same text in full again", "a", 1), (4, "the same text in full again", "a", 1),
+    (5, "x " * 20_000 + "end", "é", 1), (6, " \t\n" * 30_000, "é", 1), (7, "é漢字 😀 " * 40, None, 1),
+    (8, "the same text in full again", "b", 1),
+]
+
+
+def edge_folder(spark, tmp_path, rows):
+    docs = spark.createDataFrame(
+        [(d, t, None, s, None, "x", 1) for d, t, s, _ in rows],
+        "doc_id long, text string, lang string, source string, n_chars long, _row string, size int",
+    )
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(d, q, 0) for d, _, _, q in rows if d is not None],
+                                   "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+def test_edge_rows(spark, tmp_path):
+    """Every stage against brute force on what the one before kept of the edge rows."""
+    folder = edge_folder(spark, tmp_path, EDGES)
+    docs = table(spark, folder, "documents")
+    kept = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = saved(stage(spark, docs, folder), name)
+        kept.append(docs)
+    for df in kept[1:-1]:
+        assert df.columns == kept[0].columns
+    key = lambda row: (row[0] is None, row[0] or 0, row[1] is not None, row[1] or "")
+    rows = sorted(pairs(kept[2]), key=key)
+    roots = component_of([simhash(text or "") for _, text in rows])
+    assert len(pairs(kept[3])) == len(set(roots))
+    assert {d for d, _ in pairs(kept[3])} <= {d for d, _ in rows}
+    mixed = pairs(kept[4])
+    encode = encoder(default_path()).encode
+    tokens = sum(len(encode(t or "")) // 4 + 1 for _, t in mixed)
+    packed = kept[5].collect()
+    assert sum(r.length for r in packed) == tokens
+    run = corpus_pipeline.run(spark, folder)
+    assert run.count() == len(packed)
+
+
+def test_empty_tables(spark, tmp_path):
+    folder = edge_folder(spark, tmp_path, [])
+    assert corpus_pipeline.run(spark, folder).count() == 0
