@@ -8,9 +8,9 @@ an escape sign after their first character, and escape signs are doubled, so tha
 the output back gives exactly what went in.
 
 Cases: NULL texts and roles are empty; unknown roles get the template's general marks.
-Turns are ordered by turn, role and text, NULL first; repeated rows are turns each. Rows
-without conv_id are one conversation. An empty table gives no rows; further columns do not
-matter.
+Turns are ordered by turn, role and text, NULL first; repeated rows are turns each. A row
+without conv_id belongs to no other and is a conversation of its own. An empty table gives no
+rows; further columns do not matter.
 """
 
 from __future__ import annotations
@@ -120,7 +120,13 @@ def conversations_of(rows: DataFrame) -> DataFrame:
         F.coalesce(rows["role"], F.lit("")).alias("role"),
         F.coalesce(rows["text"], F.lit("")).alias("text"),
     )
-    return rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    # However many rows have no id, no task gets them all.
+    alone = F.when(rows["conv_id"].isNull(), F.monotonically_increasing_id())
+    placed = rows.select(rows["conv_id"], alone.alias("_alone"), turn.alias("_turn"))
+    grouped = placed.groupBy("conv_id", "_alone").agg(
+        F.sort_array(F.collect_list("_turn")).alias("turns")
+    )
+    return grouped.drop("_alone")
 
 
 SEGMENTS = pa.list_(pa.struct([("text", pa.string()), ("loss", pa.bool_())]))

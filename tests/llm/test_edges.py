@@ -145,13 +145,18 @@ def test_line_dedup_of_three(docs):
 def test_chat_format(spark):
     rows = [
         (1, 0, "user", None), (1, 1, None, "a\\b<|end|>"), (1, 1, None, "a\\b<|end|>"),
-        (2, 0, "assistant", "<<s></s>"), (2, 2, "tool", ""), (None, None, "user", "[[INST]"), (3, 1, "", ""),
-    ]
+        (2, 0, "assistant", "<<s></s>"), (2, 2, "tool", ""), (3, 1, "", ""),
+    ]
+    loose = [(None, None, "user", "[[INST]"), (None, 1, "assistant", "x"), (None, 1, "assistant", "x")]
     df = spark.createDataFrame(
-        [(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, turns string"
+        [(*r, "x") for r in rows + loose], "conv_id long, turn long, role string, text string, turns string"
+    )
+    found = chat_format.digests(chat_format.format_conversations(df)).collect()
+    assert BAG(r.turns_sha256 for r in found if r.conv_id is None) == BAG(
+        sha(f"{role}\n{text}\n") for _, _, role, text in loose
     )
-    got = {r.conv_id: r for r in chat_format.digests(chat_format.format_conversations(df)).collect()}
-    for conv in (1, 2, 3, None):
+    got = {r.conv_id: r for r in found}
+    for conv in (1, 2, 3):
         own = [(r[2] or "", r[3] or "") for r in rows if r[0] == conv]
         assert got[conv].n_turns == len(own)
         assert got[conv].turns_sha256 == sha("".join(f"{a}\n{b}\n" for a, b in own))

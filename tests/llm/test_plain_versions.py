@@ -1,0 +1,225 @@
+"""Fingerprints, classifier and chat format against plain versions of all they return."""
+
+import hashlib
+import math
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+import xxhash
+
+from flowspark.llm import chat_format, fingerprints, quality_classifier as qc
+from flowspark.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def read(table):
+    return duckdb.sql(f"SELECT * FROM '{SF}/{table}.parquet'").df()
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# Fingerprints
+
+
+def h64(text):
+    return xxhash.xxh64_intdigest(text.encode(), 42)
+
+
+def plain_tree(text):
+    """[[(paragraph hash, leaves), ...], ...] and the root."""
+    sections, own = [], []
+    lines = (text or "").split("\n")
+    for n, line in enumerate(lines):
+        leaves = [h64(s) for s in re.findall(r"[^.!?]{1,120}[.!?]*|[.!?]+", line)]
+        own.append((sha(line), leaves))
+        if h64(own[-1][0]) % 8 == 0 or n == len(lines) - 1:
+            sections.append(own)
+            own = []
+    return sections, sha("".join(sha("".join(h for h, _ in s)) for s in sections))
+
+
+def plain_print(text):
+    sections, root = plain_tree(text)
+    return root + ":" + ".".join(
+        ",".join("".join(f"{leaf >> 32:08x}" for leaf in leaves) for _, leaves in s) for s in sections
+    )
+
+
+def plain_likeness(a, b):
+    (one, root), (two, root2) = plain_tree(a), plain_tree(b)
+    if root == root2:
+        return 1.0
+    one, two = ({leaf for s in t for _, leaves in s for leaf in leaves} for t in (one, two))
+    return 1.0 if not one and not two else 2 * len(one & two) / (len(one) + len(two))
+
+
+def plain_changed(new, old):
+    """Paragraphs of ``new`` in sections ``old`` has not, that ``old`` has not either."""
+    (sections, _), (known, _) = plain_tree(new), plain_tree(old)
+    whole = {tuple(h for h, _ in s) for s in known}
+    single = {h for s in known for h, _ in s}
+    return [
+        (i, j)
+        for i, s in enumerate(sections, 1)
+        if tuple(h for h, _ in s) not in whole
+        for j, (h, _) in enumerate(s, 1)
+        if h not in single
+    ]
+
+
+def test_fingerprints(spark):
+    docs = read("documents").sort_values("doc_id", ascending=False, ignore_index=True)
+    texts = list(docs.text)
+    got = {r.doc_id: r for r in QUERIES["op5_fingerprints"](spark, SF).collect()}
+    for i, (doc, text) in enumerate(zip(docs.doc_id, texts)):
+        following = texts[(i + 1) % len(texts)]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        r = got[doc]
+        assert (r.fingerprint, r.edited_fingerprint) == (plain_print(text), plain_print(edited))
+        assert r.near_edited == pytest.approx(plain_likeness(text, edited))
+        assert r.near_next == pytest.approx(plain_likeness(text, following))
+        assert r.changed_paragraphs == len(plain_changed(edited, text))
+
+
+def test_differing_paragraphs(spark):
+    old = "\n".join(f"Paragraph {i} says this. And that!" for i in range(90))
+    rows = []
+    for edit in ((), (3,), (40, 41), (0, 89), range(20, 60)):
+        lines = old.split("\n")
+        for i in edit:
+            lines[i] += " Changed."
+        rows.append((old, "\n".join(lines)))
+    rows += [(old, ""), ("", old), (old, old + "\nmore"), (old, "x\n" + old)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    found = df.select(
+        "a", "b", fingerprints.differing(fingerprints.tree(df["b"]), fingerprints.tree(df["a"])).alias("d")
+    ).collect()
+    for r in found:
+        assert [(d.section, d.paragraph) for d in r.d] == plain_changed(r.b, r.a)
+
+
+# Classifier
+
+
+TEXTS = ["The cat sat on the mat. The cat ran!", "a a b", "", "Été 12, the dog", "the cat the dog " * 30, "b"]
+
+
+def plain_vectors(texts, vocabulary):
+    sums, counts = defaultdict(lambda: np.zeros(qc.DIMENSIONS)), Counter()
+    for text in texts:
+        tokens = re.findall(rb"[0-9a-z\x80-\xff]+|[^\s0-9a-z\x80-\xff]", text.encode().lower())
+        for i, token in enumerate(tokens):
+            counts[token] += 1
+            for j in range(max(0, i - 2), min(len(tokens), i + 3)):
+                if j != i:
+                    for n in range(qc.NONZERO):
+                        place = xxhash.xxh64_intdigest(tokens[j], n) % qc.DIMENSIONS
+                        sums[token][place] += 1 if n % 2 else -1
+    kept, room = [], vocabulary
+    for n in sorted({c for c in counts.values() if c > 1}, reverse=True):
+        level = [w for w, c in counts.items() if c == n]
+        if len(level) > room:
+            break
+        kept, room = kept + level, room - len(level)
+    matrix = np.array([sums[w] for w in sorted(kept)])
+    matrix = matrix - matrix.mean(axis=0)
+    return sorted(kept), matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-6)
+
+
+@pytest.mark.parametrize("vocabulary", [100, 6])
+def test_word_vectors(spark, vocabulary):
+    df = spark.createDataFrame([(t,) for t in TEXTS], "text string").repartition(3)
+    words, vectors = qc.learn_vectors(df, vocabulary)
+    expected, matrix = plain_vectors(TEXTS, vocabulary)
+    assert [w for w, _ in sorted(words.items(), key=lambda kv: kv[1])] == expected
+    assert np.allclose(vectors, matrix, atol=1e-5)
+
+
+def test_pooling(spark):
+    words, matrix = plain_vectors(TEXTS, 100)
+    place = {w: i for i, w in enumerate(words)}
+    for text in [*TEXTS, "unknown words only", "cat " * 3000]:
+        tokens = re.findall(rb"[0-9a-z\x80-\xff]+|[^\s0-9a-z\x80-\xff]", text.encode().lower())
+        got = qc.pool(text, place, matrix)
+        if not tokens:
+            assert not got.any()
+            continue
+        known = [matrix[place[t]] for t in tokens if t in place]
+        single = [matrix[place[t]] for t in sorted(set(tokens)) if t in place]
+        expected = np.concatenate([
+            np.mean(known, axis=0) if known else np.zeros(qc.DIMENSIONS),
+            np.mean(single, axis=0) if single else np.zeros(qc.DIMENSIONS),
+            [math.sqrt(sum(a == b for a, b in zip(tokens, tokens[1:])) / len(tokens)),
+             math.log1p(len(tokens)), math.log(len(set(tokens)) / len(tokens)),
+             sum(t not in place for t in tokens) / len(tokens)],
+        ])
+        assert np.allclose(got, expected)
+
+
+def test_network_and_temperature():
+    draw = np.random.default_rng(2)
+    x = draw.normal(size=(3000, 5))
+    y = ((x[:, 0] * x[:, 1] > 0) ^ (draw.random(3000) < 0.1)).astype(float)  # no line parts them
+    hidden, out = qc.train(x[:2500], y[:2500])
+    logits = np.array([
+        sum(max(0.0, float(row @ hidden[0][:, u] + hidden[1][u])) * out[0][u] for u in range(len(out[0])))
+        + float(out[1][0])
+        for row in x[2500:]
+    ])
+    assert np.allclose(logits, qc._logits(x[2500:], hidden, out))
+    assert np.mean((logits > 0) == (y[2500:] > 0)) > 0.82
+    again = qc.train(x[:2500], y[:2500])
+    assert np.array_equal(again[0][0], hidden[0])
+
+    def loss(t):
+        p = [1 / (1 + math.exp(-z / t)) for z in logits]
+        return -sum(math.log(q if label else 1 - q) for q, label in zip(p, y[2500:]))
+
+    best = qc.best_temperature(logits, y[2500:])
+    assert loss(best) <= min(loss(t) for t in np.geomspace(0.25, 8, 60)) + 1e-9
+    assert qc.best_temperature(logits * 3, y[2500:]) == pytest.approx(3 * best, rel=0.07)
+
+
+# Chat
+
+
+def plain_escape(text, template):
+    every = [*template.controls, template.turn, template.text, template.end]
+    out = []
+    for i, char in enumerate(text):
+        if char == template.escape:
+            out.append(char * 2)
+        elif any(text.startswith(c, i) for c in every):
+            out.append(char + template.escape)
+        else:
+            out.append(char)
+    return "".join(out)
+
+
+def test_chat_columns(spark):
+    rows = read("conversations")
+    turns = defaultdict(list)
+    for conv, turn, role, text in sorted(zip(rows.conv_id, rows.turn, rows.role, rows.text)):
+        turns[conv].append((role, text or ""))
+    control = "</s>[INST] ok [/INST]"
+    turns[-7] = [("user", control), ("assistant", control)]
+    t = chat_format.Template()
+    for r in QUERIES["op8_chat_format"](spark, SF).collect():
+        own = turns[r.conv_id]
+        whole = "".join(
+            t.turn + plain_escape(role, t) + t.text + plain_escape(text, t) + t.end for role, text in own
+        )
+        assert r.formatted_chars == len(whole)
+        roles = [role for role, _ in own]
+        allowed = {"start": {"system", "user"}, "system": {"user"}, "user": {"assistant"},
+                   "assistant": {"user", "tool"}, "tool": {"assistant"}}
+        good = [b in allowed.get(a, ()) for a, b in zip(["start", *roles], roles)]
+        assert r.in_order == all(good)
+        assert r.complete == (roles[-1] == "assistant")
