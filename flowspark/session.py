@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # The JVM compiles no method above 8000 bytes of byte code. Fused code over 78 columns
 # is longer and would run interpreted; below this limit Spark splits it up instead.
@@ -34,3 +34,10 @@ def with_settings(spark: SparkSession, settings: dict[str, object]) -> SparkSess
     for name, value in settings.items():
         clone.conf.set(name, value)
     return clone
+
+
+def in_session(df: DataFrame, session: SparkSession) -> DataFrame:
+    """The same frame, planned and started under another session's settings."""
+    plan = df._jdf.queryExecution().analyzed()
+    rows = session._jvm.org.apache.spark.sql.classic.Dataset.ofRows(session._jsparkSession, plan)
+    return DataFrame(rows, session)

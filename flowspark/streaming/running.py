@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from flowspark.session import in_session, with_settings
+
 # State outside the JVM's heap, of which a checkpoint writes the changes only.
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -26,20 +27,14 @@ def with_trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWr
     return writer.trigger(processingTime=interval)
 
 
-@contextmanager
-def state_stores(spark: SparkSession, partitions: int | None) -> Iterator[None]:
-    """Start queries with this many state stores. A query keeps the number it first
-    started with. Counts per class, or per class and minute, need few: each task sends
-    one partial count per group, so more stores only add overhead to every batch."""
+def with_state_stores(stream: DataFrame, partitions: int | None) -> DataFrame:
+    """The stream for a query with this many state stores. A query keeps the number it first
+    started with. Counts per class, or per class and minute, need few: each task sends one
+    partial count per group, so more stores only add overhead to every batch. The number
+    belongs to a clone of the session, whatever else is planned meanwhile."""
     if partitions is None:
-        yield
-        return
-    before = spark.conf.get(SHUFFLE_PARTITIONS)
-    spark.conf.set(SHUFFLE_PARTITIONS, partitions)
-    try:
-        yield
-    finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, before)
+        return stream
+    return in_session(stream, with_settings(stream.sparkSession, {SHUFFLE_PARTITIONS: partitions}))
 
 
 def write_parquet(
@@ -53,15 +48,15 @@ def write_parquet(
     """Append to a Parquet table. The sink's log makes a restarted query continue
     without repeating or losing rows. ``partition_by`` gives each value a folder."""
     writer = (
-        stream.writeStream.format("parquet")
+        with_state_stores(stream, state_partitions)
+        .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .option("path", path)
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with state_stores(stream.sparkSession, state_partitions):
-        return with_trigger(writer, interval).start()
+    return with_trigger(writer, interval).start()
 
 
 def write_table(
@@ -73,14 +68,18 @@ def write_table(
 ) -> StreamingQuery:
     """Keep the newest full result as an in-memory table of the driver. Only for
     aggregates whose number of rows is bounded, such as counts per class."""
+    own = with_state_stores(stream, state_partitions)
     writer = (
-        stream.writeStream.format("memory")
+        own.writeStream.format("memory")
         .queryName(name)
         .outputMode("complete")
         .option("checkpointLocation", checkpoint)
     )
-    with state_stores(stream.sparkSession, state_partitions):
-        return with_trigger(writer, interval).start()
+    query = with_trigger(writer, interval).start()
+    if own is not stream:
+        table = in_session(own.sparkSession.table(name), stream.sparkSession)
+        table.createOrReplaceTempView(name)
+    return query
 
 
 def finish(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
