@@ -9,8 +9,10 @@ the Burrows-Wheeler transform). Backward search extends each segment's match to
 while at least two occurrences are left and starts again one word before the end when it
 fails: these matching statistics give the intervals to remove.
 
-An anchor with more than ``hot_anchor`` segments is too large for one task. Its windows are
-counted one by one by two hashes instead, combined before the shuffle.
+An anchor with more than ``hot_anchor`` segments, or ``ANCHOR_SHARDS`` shards of words, is too
+large for one task. Segments are counted by anchor beforehand, so those of such an anchor
+never meet; its windows are counted one by one by two hashes instead, combined before the
+shuffle.
 
 Texts travel once for each join, compressed, and are keyed by hash and length, so copies of
 a text are one text; a text that occurs twice loses every window without a search.
@@ -39,6 +41,10 @@ ANCHOR_WORDS = 5
 BLOCK_WORDS = 500_000
 SHARD_WORDS = 600_000
 PIECE_WINDOWS = 128
+#: Shards' words that one anchor may have: an index holds whole anchors.
+ANCHOR_SHARDS = 2
+#: Rows of whole anchors that are counted together.
+MET_ROWS = 40_000
 #: Texts of a task that are known to have been sent; the set starts anew beyond it.
 SEEN = 1_000_000
 
@@ -174,11 +180,10 @@ def _cut(window: int) -> Callable:
     return cut
 
 
-def _meet(hot_anchor: int) -> Callable:
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by anchor and content: drops anchors of one segment, counts copies.
 
-    ``copies`` is the number of equal segments at the first of them and 0 at the others;
-    rows of an anchor above ``hot_anchor`` rows have -1.
+    ``copies`` is the number of equal segments at the first of them and 0 at the others.
     """
 
     def judged(rows: list[np.ndarray]) -> pa.RecordBatch:
@@ -190,43 +195,27 @@ def _meet(hot_anchor: int) -> Callable:
         kind = np.flatnonzero(new_kind)
         copies = np.zeros(n, np.int64)
         copies[kind] = np.diff(np.r_[kind, n])
-        rows_of = np.repeat(group, group)
-        copies[rows_of > hot_anchor] = -1
-        keep = (rows_of > 1) | (rows[4] & REPEATS != 0)
+        keep = (np.repeat(group, group) > 1) | (rows[4] & REPEATS != 0)
         return pa.RecordBatch.from_arrays(
             [pa.array(c[keep]) for c in (*rows, copies)], [*SEGMENT, "copies"]
         )
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        size, hot = 0, None
-        for batch in batches:
-            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if hot is not None:
-                n = int(np.searchsorted(rows[0], hot, "right"))
-                if n:
-                    yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(c[:n]) for c in rows), pa.array(np.full(n, -1))],
-                        [*SEGMENT, "copies"],
-                    )
-                    rows = [c[n:] for c in rows]
-                if not len(rows[0]):
-                    continue
-                hot = None
-            held.append(rows)
-            size += len(rows[0])
-            if size <= 2 * hot_anchor:
-                continue
-            rows = [np.concatenate(c) for c in zip(*held)]
-            cut = int(np.searchsorted(rows[0], rows[0][-1]))
-            if cut == 0:  # one anchor alone: it is hot, and what follows of it too
-                hot, cut = rows[0][-1], size
-            yield judged([c[:cut] for c in rows])
-            held, size = [[c[cut:] for c in rows]], size - cut
-        if size:
-            yield judged([np.concatenate(c) for c in zip(*held)])
-
-    return meet
+    held: list[list[np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not len(rows[0]):
+            continue
+        held.append(rows)
+        size += len(rows[0])
+        if size <= MET_ROWS or held[0][0][0] == rows[0][-1]:
+            continue
+        rows = [np.concatenate(c) for c in zip(*held)]
+        cut = int(np.searchsorted(rows[0], rows[0][-1]))  # the last anchor may go on
+        yield judged([c[:cut] for c in rows])
+        held, size = [[c[cut:] for c in rows]], size - cut
+    if size:
+        yield judged([np.concatenate(c) for c in zip(*held)])
 
 
 class WaveletMatrix:
@@ -431,15 +420,25 @@ TEXT = ["text_hash", "text_bytes"]
 def removed_spans(texts: DataFrame, window: int, hot_anchor: int) -> DataFrame:
     """(text_hash, text_bytes, first, end): words of texts to remove, spans may overlap."""
     fields = "anchor long, content long, text_hash long, text_bytes long, span long"
+    segments = saved(texts.mapInArrow(_cut(window), fields), "segments")
+    words = F.col("span").bitwiseAND(F.lit(SIZE))
+    hot_anchors = saved(
+        segments.groupBy("anchor")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(words).alias("words"))
+        .where((F.col("n") > hot_anchor) | (F.col("words") > ANCHOR_SHARDS * SHARD_WORDS))
+        .select("anchor"),
+        "hot-anchors",
+    )
+    any_hot = not hot_anchors.isEmpty()
+    cold = segments.join(hot_anchors, "anchor", "left_anti") if any_hot else segments
     met = saved(
-        texts.mapInArrow(_cut(window), fields)
-        .repartition("anchor")
+        cold.repartition("anchor")
         .sortWithinPartitions("anchor", "content", "text_hash", "span")
-        .mapInArrow(_meet(hot_anchor), f"{fields}, copies long"),
-        "segments",
+        .mapInArrow(_meet, f"{fields}, copies long"),
+        "met",
     )
     wanted = (
-        met.where("copies <> 0")
+        met.where("copies > 0")
         .groupBy(*TEXT)
         .agg(F.collect_list(F.struct("anchor", "content", "span", "copies")).alias("wanted"))
     )
@@ -451,10 +450,9 @@ def removed_spans(texts: DataFrame, window: int, hot_anchor: int) -> DataFrame:
             for packed, wanted in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 words = _unpacked(packed)
                 for w in wanted:
-                    if w["copies"] > 0:
-                        first, size = w["span"] >> 32, w["span"] & SIZE
-                        body = b" ".join(words[first : first + size])
-                        out.append((w["anchor"], w["content"], w["copies"], body))
+                    first, size = w["span"] >> 32, w["span"] & SIZE
+                    body = b" ".join(words[first : first + size])
+                    out.append((w["anchor"], w["content"], w["copies"], body))
             columns = list(zip(*out)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())],
@@ -469,14 +467,12 @@ def removed_spans(texts: DataFrame, window: int, hot_anchor: int) -> DataFrame:
         "matches",
     )
     offset = F.shiftright("span", 32)
-    spans = (
-        met.where("copies >= 0")
-        .join(matches, ["anchor", "content"])
-        .select(*TEXT, (offset + F.col("first")).alias("first"), (offset + F.col("end")).alias("end"))
+    spans = met.join(matches, ["anchor", "content"]).select(
+        *TEXT, (offset + F.col("first")).alias("first"), (offset + F.col("end")).alias("end")
     )
-    hot = met.where("copies < 0")
-    if hot.isEmpty():
+    if not any_hot:
         return spans
+    hot = segments.join(hot_anchors, "anchor", "left_semi")
     return spans.unionByName(_hot_spans(texts, hot, window))
 
 
@@ -564,12 +560,14 @@ def substring_dedup(docs: DataFrame, window: int = 35, hot_anchor: int = 20_000)
                 ),
             )
 
-    digests = (
+    # Written, so that the rows of a text that many documents are can be split.
+    digests = saved(
         _packed(texts)
         .join(copies, TEXT)
         .join(spans, TEXT, "left")
         .select(*TEXT, digest("packed", "spans", "copies").alias("d"))
         .groupBy(*TEXT)
-        .agg(F.min("d").alias("d"))
+        .agg(F.min("d").alias("d")),
+        "digests",
     )
     return rows.join(digests, TEXT).select("doc_id", "d.n_words", "d.n_removed", "d.kept_sha256")
