@@ -151,6 +151,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 NO_ID = -(1 << 63)
+#: Text of a window's task, and the ranges of ids that one aggregate can tell apart.
+BLOCK_BYTES = 64 << 20
+MOST_BLOCKS = 10_000
 
 
 def _with_next(spark: SparkSession, docs: DataFrame, blocks: int) -> DataFrame:
@@ -204,11 +207,14 @@ def edited_fingerprints(docs: DataFrame, blocks: int | None = None) -> DataFrame
     """Fingerprints of every row and of its edited text, and their likenesses.
 
     The edited text has the last half of the code points replaced by as many from the start
-    of the next row by descending id. One row alone is its own next one.
+    of the next row by descending id. One row alone is its own next one. The table is cut
+    into ``blocks`` windows, by default as many as its texts fill ``BLOCK_BYTES``.
     """
     spark = docs.sparkSession
     if blocks is None:
-        blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        blocks = min(MOST_BLOCKS, max(tasks, -(-size // BLOCK_BYTES)))
     paired = _with_next(spark, docs, blocks)
     chars = F.char_length("text")
     half = F.floor(chars / 2).cast("int")
