@@ -330,6 +330,8 @@ WHERE {_SPLIT_NAMES['test']} AND {_below(0.3, 'test:42')} GROUP BY 1, 2""",
         "CAST(0 AS BIGINT) AS invalid FROM flows",
         "stream_health_damaged": f"SELECT count(*) AS messages, count(*) FILTER ({VALID}) AS valid, "
         f"count(*) FILTER (NOT {VALID}) AS invalid FROM messages",
+        "stream_interval": "SELECT count(*) AS messages, true AS several_batches, "
+        "true AS an_interval_apart FROM flows",
         "stream_rate_limit": "SELECT count(*) AS messages, true AS several_batches, "
         "true AS within_limit FROM flows",
         "stream_restart": 'SELECT flow_id, "Predicted_Attack" FROM predicted',

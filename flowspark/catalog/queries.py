@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from functools import partial, wraps
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowspark.catalog import inputs
@@ -53,7 +53,7 @@ from flowspark.sources.row_identity import ROW_KEY
 from flowspark.sources.training_set import read_training_set
 from flowspark.streaming import health, lateness, parsing
 from flowspark.streaming.detection import batch_summary, detect
-from flowspark.streaming.running import finish, write_parquet, write_table
+from flowspark.streaming.running import finish, run_until, write_parquet, write_table
 from flowspark.streaming.windows import attacks_per_window_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -794,6 +794,36 @@ def stream_rate_limit(spark, sf_dir):
     )
 
 
+@query
+def stream_interval(spark, sf_dir):
+    """Micro-batches at an interval, stopped once the whole topic is written."""
+    output, checkpoint = new_folder(spark, "interval-out"), new_folder(spark, "interval-checkpoint")
+    folder = inputs.topic(spark, sf_dir)
+    total = read_folder(spark, folder).count()
+    stream = stream_folder(spark, folder, inputs.FILES_PER_TRIGGER // 2).select(
+        F.col("key").cast("string").alias("key"), F.current_timestamp().alias("batch")
+    )
+    started = write_parquet(stream, output, checkpoint, interval="1 second")
+    read = 0
+    while read < total and not run_until(started, 1):
+        read = sum(row["input_rows"] for row in health.progress_rows(started))
+    started.stop()
+    written = spark.read.schema(stream.schema).parquet(output)
+    batches = written.groupBy("batch").agg(F.count(F.lit(1)).alias("messages"))
+    # A query starts at once and then keeps to multiples of the interval.
+    gap = F.col("batch").cast("double") - F.lag(F.col("batch").cast("double")).over(
+        Window.orderBy("batch")
+    )
+    numbered = batches.select(
+        "messages", gap.alias("gap"), F.row_number().over(Window.orderBy("batch")).alias("n")
+    )
+    return numbered.agg(
+        F.sum("messages").alias("messages"),
+        (F.count(F.lit(1)) > 2).alias("several_batches"),
+        (F.min(F.when(F.col("n") > 2, F.col("gap"))) > 0.9).alias("an_interval_apart"),
+    )
+
+
 @query
 def stream_health_damaged(spark, sf_dir):
     """Counts over a topic with messages that are no JSON object."""

@@ -93,6 +93,12 @@ def finish(query: StreamingQuery, timeout: float | None = None) -> StreamingQuer
     return query
 
 
+def run_until(query: StreamingQuery, seconds: float) -> bool:
+    """Wait for the end at most ``seconds`` seconds and leave the query running; whether it has
+    ended. A failure is raised."""
+    return bool(query.awaitTermination(seconds))
+
+
 def run_for(query: StreamingQuery, seconds: float) -> bool:
     """Wait for the end at most ``seconds`` seconds, then stop the query. True if it had
     ended; its progress reports tell what it did either way, and a failure is raised."""

@@ -14,7 +14,7 @@ from flowspark.operators.classifier import (
     score,
 )
 from flowspark.operators.profile import row_counts
-from flowspark.plans.training import split_sets, train_and_evaluate
+from flowspark.plans.training import evaluate, split_sets, train_and_evaluate
 from flowspark.schema import LITERAL_DECODE_LABELS
 
 
@@ -127,3 +127,31 @@ def test_train_and_evaluate(flows, key, tmp_path):
     assert [r.Label for r in confusion] == sorted(r.Label for r in confusion)
     assert 0 < scored.count() < train.count()
     result.release()
+
+
+def persisted(spark):
+    return set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+
+
+def test_kept_rows_are_given_back(spark, flows):
+    """Persisted input of a fit, after success and failure, and the counts of an evaluation."""
+    before = persisted(spark)
+    keep = StorageLevel.MEMORY_AND_DISK
+    model = fit_forest(flows, FEATURES, storage=keep, partitions=3, num_trees=2)
+    assert persisted(spark) - before == set()
+    with pytest.raises(Exception):
+        fit_forest(flows.limit(0), FEATURES, storage=keep, num_trees=2)
+    assert persisted(spark) - before == set()
+    result = evaluate(model, flows)
+    assert result.metrics.count() == 1 and len(persisted(spark) - before) == 1
+    confusion = sorted(map(tuple, result.confusion.collect()))
+    result.release()
+    assert persisted(spark) - before == set()
+    assert sorted(map(tuple, result.confusion.collect())) == confusion
+
+
+def test_repartition_of_the_input(flows):
+    """The fit takes any number of partitions and knows the same classes."""
+    models = [fit_forest(flows, FEATURES, partitions=n, num_trees=2) for n in (None, 5)]
+    assert fitted_labels(models[0]) == fitted_labels(models[1])
+    assert all(m.stages[-1].getNumTrees == 2 for m in models)

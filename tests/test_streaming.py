@@ -236,3 +236,16 @@ def test_missing_reports_are_told():
     assert health.missing_batches({}) == 0
     assert health.missing_batches({0: {}, 1: {}}) == 0
     assert health.missing_batches({3: {}, 4: {}}) == 3
+
+
+def test_the_number_of_state_stores_is_the_querys_own(spark, tmp_path):
+    """What is planned in the session meanwhile keeps the session's number."""
+    spark.createDataFrame([(1,), (2,)], "a long").write.parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stream = spark.readStream.schema("a long").parquet(str(tmp_path / "in"))
+    counts = stream.groupBy("a").count()
+    started = write_table(counts, "own_stores", str(tmp_path / "ck"), state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    finish(started)
+    assert spark.table("own_stores").count() == 2
+    assert len(list((tmp_path / "ck" / "state" / "0").glob("[0-9]*"))) == 3
