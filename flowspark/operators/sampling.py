@@ -1,8 +1,9 @@
 """Samples and splits.
 
-The keyed forms need a key that is unique per row. Rows without one take the forms on
-``rand``: they follow the scan's partitioning, yet copies of a row are drawn
-independently, where a digest of the row's content would keep all or none of them.
+The keyed forms need a key that is unique per row; ``sources.row_identity`` gives rows of files
+one from where they stand. Other rows take the forms on ``rand``: they follow the scan's
+partitioning, yet copies of a row are drawn independently, where a digest of the row's content
+would keep all or none of them.
 """
 
 from __future__ import annotations

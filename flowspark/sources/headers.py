@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowspark.scratch import saved, scope
+from flowspark.scratch import new_folder, scope
 from flowspark.session import with_settings
 
 #: Bytes up to which files are read together.
@@ -101,8 +101,10 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         scan = lines(0, paths)
     else:
         scan = reduce(DataFrame.union, [lines(i, [path]) for i, path in enumerate(paths)])
-    written = saved(scan.where("line is not null").mapInArrow(first_lines, HEADERS), "headers")
-    return spark.read.schema(written.schema).parquet(*written.inputFiles())
+    found = scan.where("line is not null").mapInArrow(first_lines, HEADERS)
+    path = f"{new_folder(spark, 'headers')}/rows"
+    found.hint("rebalance").write.parquet(path)  # a line or so a task: in few files
+    return spark.read.schema(HEADERS).parquet(path)
 
 
 def layouts(spark: SparkSession, paths: Sequence[str]) -> list[Layout]:
