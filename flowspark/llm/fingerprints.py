@@ -14,6 +14,8 @@ columns do not matter.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -156,6 +158,30 @@ BLOCK_BYTES = 64 << 20
 MOST_BLOCKS = 10_000
 
 
+def _edges_below(edges: list[int], value: Column, equal: bool) -> Column:
+    """How many of the sorted edges are below ``value``, or equal to it too.
+
+    First the group of about the square root of them is found, then the place inside.
+    """
+    if not edges:
+        return F.lit(0)
+
+    def literal(numbers: list[int]) -> str:
+        return "array(" + ", ".join(f"bigint('{n}')" for n in numbers) + ")"
+
+    size = math.isqrt(len(edges)) + 1
+    groups = [edges[i : i + size] for i in range(0, len(edges), size)]
+    firsts = F.expr(literal([group[0] for group in groups]))
+    every = F.expr("array(" + ", ".join(map(literal, groups)) + ")")
+    count = lambda of: F.size(
+        F.filter(of, (lambda e: e <= value) if equal else (lambda e: e < value))
+    )
+    return let(
+        count(firsts),
+        lambda n: F.when(n == 0, 0).otherwise((n - 1) * size + count(F.get(every, n - 1))),
+    )
+
+
 def _with_next(spark: SparkSession, docs: DataFrame, blocks: int) -> DataFrame:
     """Every row with the text of the next one, by descending id, from the first to the last.
 
@@ -169,15 +195,14 @@ def _with_next(spark: SparkSession, docs: DataFrame, blocks: int) -> DataFrame:
     bounds = docs.select(doc).agg(F.percentile_approx("doc", shares, 10_000)).first()[0]
     if bounds is None:
         bounds = []
-    edges = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<long>")
     text = F.coalesce(docs["text"], F.lit(""))
     rows = docs.select(docs["doc_id"], doc, F.xxhash64(text).alias("tie"), text.alias("text"))
     share = F.col("tie") / F.lit(2.0**64) + 0.5  # from 0 to 1
-    equal = F.size(F.filter(edges, lambda e: e == F.col("doc")))
-    block = F.size(F.filter(edges, lambda e: e < F.col("doc"))) + F.least(
-        equal, F.floor(share * (equal + 1)).cast("int")
-    )
-    rows = rows.withColumn("block", block)
+    below = _edges_below(bounds, F.col("doc"), False)
+    equal = _edges_below(bounds, F.col("doc"), True) - below
+    rows = rows.select("*", below.alias("below"), equal.alias("equal"))
+    block = F.col("below") + F.least("equal", F.floor(share * (F.col("equal") + 1)).cast("int"))
+    rows = rows.withColumn("block", block).drop("below", "equal")
     tops = sorted(
         rows.groupBy("block").agg(F.max(F.struct("doc", "tie")).alias("top")).collect()
     )
@@ -213,7 +238,8 @@ def edited_fingerprints(docs: DataFrame, blocks: int | None = None) -> DataFrame
     spark = docs.sparkSession
     if blocks is None:
         size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-        tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # Several for each task: blocks are dealt by hash, and the tasks get about as many.
+        tasks = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
         blocks = min(MOST_BLOCKS, max(tasks, -(-size // BLOCK_BYTES)))
     paired = _with_next(spark, docs, blocks)
     chars = F.char_length("text")

@@ -2,7 +2,8 @@
 
 Everything is measured on the words (runs of non-space characters) and lines of the whole
 text. Cases: a NULL or empty text has no words and fails the base rule; a ratio without a
-denominator counts as 0. Texts are judged alone, so repeated rows get equal results, and
+denominator counts as 0. Texts in none of the four languages of ``STOP_WORDS`` fail that rule; a
+table for others is a parameter. Texts are judged alone, so repeated rows get equal results, and
 further columns of the input do not matter.
 """
 

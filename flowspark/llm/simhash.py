@@ -8,8 +8,9 @@ Hamming distance to the parent, and a search follows only the edges within the r
 trees live in the tasks that own the shards; broadcasting them would move a structure that
 grows with the corpus to every executor. A shard above ``hot_shard`` fingerprints is divided
 again by blocks of the bits in another order: its links agree in as many of those, so each
-fingerprint goes to as many smaller shards, and no tree is copied. With five blocks and three
-bits, ``LEVELS`` orders leave at most 13 bits that can differ, or 8192 fingerprints.
+fingerprint goes to as many smaller shards, and no tree is copied. That goes on until no shard
+is above it. Every order fixes further bits, with five blocks and three bits all but 13, or 8192
+fingerprints, after five of them.
 
 Shards give stars (each fingerprint and the smallest one of its part), never pairs; stars
 join to components by alternating large-star and small-star steps on written tables.
@@ -40,8 +41,9 @@ SEED = 42
 #: Shingles whose bits are counted at once, and pairs of a search held at once.
 SHINGLE_BLOCK = 65_536
 SEARCH_BLOCK = 2_000_000
-#: Orders of the bits by which shards are divided, the first one as they are.
-LEVELS = 5
+#: Orders of the bits by which shards are divided, the first one as they are. More are never
+#: needed: with the fewest blocks, four for three bits, these leave two bits free.
+LEVELS = 13
 
 
 def shingles_of(text: str, width: int) -> list[bytes]:

@@ -7,6 +7,7 @@ import pytest
 from brute import component_of
 
 from flowspark.llm import mixing, simhash
+from flowspark.llm.fingerprints import _edges_below
 
 
 @pytest.mark.parametrize("blocks", [5, 4])
@@ -65,3 +66,17 @@ def test_rows_repeated_in_full_are_one(spark):
         "doc_id long, text string, _row string",
     ).repartition(6)
     assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == [7, 9]
+
+
+def test_edges_below(spark):
+    """Places among sorted edges, with repeats, against counting."""
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 7, 120):
+        edges = sorted([-(1 << 63), *rng.integers(-5, 40, n).tolist()][: n or None]) if n else []
+        values = [-(1 << 63), -6, *range(-5, 42), (1 << 63) - 1]
+        df = spark.createDataFrame([(v,) for v in values], "v long")
+        got = df.select(
+            "v", _edges_below(edges, df["v"], False).alias("less"), _edges_below(edges, df["v"], True).alias("most")
+        ).collect()
+        for r in got:
+            assert (r.less, r.most) == (sum(e < r.v for e in edges), sum(e <= r.v for e in edges))
