@@ -18,6 +18,7 @@ from functools import reduce
 from typing import NamedTuple
 from urllib.parse import unquote
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,9 +55,13 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            codes = batch.column(1).dictionary_encode().indices.to_numpy()
+            starts = batch.take(pa.array(np.flatnonzero(np.diff(codes, prepend=-1))))
             rows: list[tuple] = []
             large = False
-            for root, file, size, line in zip(*(column.to_pylist() for column in batch.columns)):
+            for root, file, size, line in zip(*(column.to_pylist() for column in starts.columns)):
                 if file != done:
                     done = file
                     first = line.removeprefix("\ufeff").split("\r")[0]
@@ -76,8 +81,9 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         {
             "spark.sql.files.maxPartitionBytes": SMALL_FILE,
             "spark.sql.files.openCostInBytes": 4096,
+            "spark.sql.files.minPartitionNum": 1,
             # Little more than the first line goes to the worker before it stops.
-            "spark.sql.execution.arrow.maxRecordsPerBatch": 64,
+            "spark.sql.execution.arrow.maxRecordsPerBatch": 256,
         },
     )
     # Lines of several files follow each other in a partition; multi-line files are not cut.
